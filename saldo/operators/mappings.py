@@ -302,16 +302,34 @@ STILL_OPEN = "Em Aberto Atualmente (Sem Baixa)"
 PAID, OPEN = "Baixado", "Em Aberto"
 
 
-def category_table(spark: SparkSession, entity: str, values: dict[str, str] = CATEGORIES) -> DataFrame:
+def fixed_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small inline table; Spark knows its exact size, so joins broadcast it."""
+    marks = ", ".join("(" + ", ".join("?" for _ in names) + ")" for _ in rows)
+    values = [value for row in rows for value in row]
+    return spark.sql(f"select * from values {marks} as t({', '.join(names)})", args=values)
+
+
+def category_table(spark: SparkSession, entity: str) -> DataFrame:
     """(prefixo, categoria) with the organisation's name filled in."""
-    rows = [(code, label.format(entity=entity)) for code, label in values.items()]
-    return spark.createDataFrame(rows, "prefixo string, categoria string")
+    rows = [(code, label.format(entity=entity)) for code, label in CATEGORIES.items()]
+    return fixed_table(spark, rows, ["prefixo", "categoria"])
 
 
 def national_table(spark: SparkSession) -> DataFrame:
     """(codconta, nacional), one row per listed account."""
     rows = [(account, code) for code, accounts in NATIONAL_CODES.items() for account in accounts]
-    return spark.createDataFrame(rows, "codconta string, nacional string")
+    return fixed_table(spark, rows, ["codconta", "nacional"])
+
+
+def recode_table(spark: SparkSession) -> DataFrame:
+    """(prefixo, natureza) for the plan report."""
+    return fixed_table(spark, list(ACCOUNT_RECODES.items()), ["prefixo", "natureza"])
+
+
+def label_table(spark: SparkSession) -> DataFrame:
+    """(prefixo, descricao, rotulo) for the plan report."""
+    rows = [(code, text, label) for (code, text), label in NATURE_LABELS.items()]
+    return fixed_table(spark, rows, ["prefixo", "descricao", "rotulo"])
 
 
 def project_corrections(entity: str) -> dict[str, str]:
