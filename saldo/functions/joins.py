@@ -16,8 +16,7 @@ def _planned_bytes(df: DataFrame) -> int | None:
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    size = plan.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString())
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(

@@ -304,8 +304,11 @@ PAID, OPEN = "Baixado", "Em Aberto"
 
 def fixed_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
     """A small inline table; Spark knows its exact size, so joins broadcast it."""
-    marks = ", ".join("(" + ", ".join("?" for _ in names) + ")" for _ in rows)
-    values = [value for row in rows for value in row]
+    width = len(names)
+    marks = ", ".join(
+        "(" + ", ".join(f":v{n * width + i}" for i in range(width)) + ")" for n in range(len(rows))
+    )
+    values = {f"v{n}": value for n, value in enumerate(v for row in rows for v in row)}
     return spark.sql(f"select * from values {marks} as t({', '.join(names)})", args=values)
 
 
