@@ -23,8 +23,9 @@ from saldo.operators import (
     standardize,
     study,
 )
+from saldo.plans import reports
 from saldo.plans.refresh import refresh_all, standardized
-from saldo.session import work_path
+from saldo.session import ensure_checkpoint_dir, work_path
 from saldo.sources import cubes, funds, relational, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,14 +141,20 @@ def cost_center_hierarchy(spark, sf):
     return hierarchy.cost_center_hierarchy(view(spark, sf, "fx_cost_center"))
 
 
-def _legs(spark, sf, listed=False):
+def _pinned(spark, sf, name):
+    """A reference view computed once, as a deployment would have it stored."""
+    ensure_checkpoint_dir(spark)
+    return view(spark, sf, name).checkpoint()
+
+
+def _legs(spark, sf, accounts=None, allowlist=None):
     return ledger.ledger_legs(
         view(spark, sf, "fx_journal"),
         view(spark, sf, "fx_allocation"),
         view(spark, sf, "fx_movement"),
         view(spark, sf, "fx_counterparty"),
-        view(spark, sf, "fx_account"),
-        view(spark, sf, "fx_allowlist") if listed else None,
+        accounts or view(spark, sf, "fx_account"),
+        allowlist,
         first_year=OLD,
     )
 
@@ -186,12 +193,11 @@ def national_code(spark, sf):
 
 @_query
 def ledger_fact(spark, sf):
+    accounts = _pinned(spark, sf, "fx_account")
     return ledger.ledger_fact(
-        _legs(spark, sf, listed=True),
-        hierarchy.cost_center_hierarchy(view(spark, sf, "fx_cost_center")),
-        hierarchy.account_hierarchy(
-            view(spark, sf, "fx_account"), mappings.category_table(spark, ENTITY)
-        ),
+        _legs(spark, sf, accounts, view(spark, sf, "fx_allowlist")),
+        hierarchy.cost_center_hierarchy(_pinned(spark, sf, "fx_cost_center")),
+        hierarchy.account_hierarchy(accounts, mappings.category_table(spark, ENTITY)),
         view(spark, sf, "fx_national"),
     )
 
@@ -201,7 +207,7 @@ def ledger_fact(spark, sf):
 
 def _cc_map(spark, sf):
     years = view(spark, sf, "fx_year_map")
-    centers = hierarchy.cost_center_hierarchy(view(spark, sf, "fx_cost_center"), CORRECTIONS)
+    centers = hierarchy.cost_center_hierarchy(_pinned(spark, sf, "fx_cost_center"), CORRECTIONS)
     return budget.budget_cc_map(
         [years.filter(F.col("ano") == str(OLD)), years.filter(F.col("ano") == str(NEW))], centers
     )
@@ -383,7 +389,7 @@ def _planned(spark, sf):
 
 
 def _totals(spark, sf, by):
-    return planactual.plan_actual_totals(_planned(spark, sf), _executed(spark, sf), by)
+    return planactual.totals(planactual.plan_actual_lines(_planned(spark, sf), _executed(spark, sf)), by)
 
 
 @_query
@@ -430,11 +436,7 @@ def plan_actual_nested(spark, sf):
 
 @_query
 def json_payload(spark, sf):
-    return tables.json_records(
-        mensal=_totals(spark, sf, planactual.BY_MONTH),
-        natureza=_totals(spark, sf, planactual.BY_NATURE),
-        projeto=_totals(spark, sf, planactual.BY_PROJECT),
-    )
+    return tables.json_records(**reports.plan_payload(_planned(spark, sf), _executed(spark, sf)))
 
 
 # --- coverage and dashboard --------------------------------------------------

@@ -7,8 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saldo.session import ensure_checkpoint_dir
+
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 200_000
+ROWS_PER_TASK = 2_000_000
+MAX_HOT_KEYS, TRACKED_KEYS = 64, 8192
 
 
 def _planned_bytes(df: DataFrame) -> int | None:
@@ -19,19 +23,23 @@ def _planned_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(
+def small_copy(
     df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
-) -> bool:
-    """Whether a side is small enough to ship to every executor.
-
-    The plan estimate decides without running anything. Only where it is too
-    coarse (derived tables are estimated at the size of their input, joins at
-    the product) are rows counted, and never more than ``max_rows + 1``.
+) -> DataFrame | None:
+    """A table proven small enough to ship to every executor, else None.
+
+    Where the plan estimate is already under the limit nothing is run. The
+    estimate of a derived table is far too high (a join counts as the product
+    of its sides), so such a table is computed up to one row over the limit
+    and kept as a checkpoint: if it ends before the limit, the copy is the
+    whole table and the join reads it instead of computing it again.
     """
     planned = _planned_bytes(df)
     if planned is not None and planned <= max_bytes:
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    start = df.limit(max_rows + 1).checkpoint()
+    return start if start.count() <= max_rows else None
 
 
 def lookup_join(
@@ -39,38 +47,86 @@ def lookup_join(
 ) -> DataFrame:
     """Join a fact to a reference table.
 
-    A reference table of checked size is broadcast, so the fact is not
-    shuffled and a hot key costs nothing. A larger one falls back to a shuffle
-    join, where AQE splits hot partitions of the fact side.
+    A reference table of proven size is broadcast, so the fact is not shuffled
+    and a hot key costs nothing. A larger one falls back to a shuffle join,
+    where AQE splits hot partitions of the fact side.
     """
-    return left.join(F.broadcast(right) if fits_broadcast(right) else right, on, how)
+    small = small_copy(right)
+    return left.join(right if small is None else F.broadcast(small), on, how)
+
 
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """Keys that alone would overfill a task, with the number of slots to use; None if there are none.
 
-def outer_by_parts(
-    left: DataFrame, right: DataFrame, keys: dict[str, str], null_safe: bool = False
+    One narrow scan feeds a frequent-items sketch, which cannot miss a key that
+    outweighs an average task. The few candidates are then counted exactly.
+    The sketch only decides where rows go, never which rows there are.
+    """
+    sketch = F.expr(f"approx_top_k(_key, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
+    keyed = df.select(F.xxhash64(*keys).alias("_key"))
+    seen = keyed.agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows")).first()
+    limit = max(rows_per_task, seen["rows"] // TRACKED_KEYS)
+    candidates = [entry["item"] for entry in seen["top"] or [] if entry["count"] >= limit]
+    if not candidates:
+        return None
+    counted = (
+        df.filter(F.xxhash64(*keys).isin(candidates))
+        .groupBy(*keys)
+        .agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("_slots"))
+    )
+    return df.sparkSession.createDataFrame(counted.collect(), counted.schema)
+
+
+def skewed_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: dict[str, str],
+    null_safe: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join for two large tables whose hot keys may sit on either side.
 
-    A plain left join can only be split on the left side. Matched rows come
-    from an inner join, which AQE may split on both sides; unmatched rows come
-    from an anti join against the distinct keys, which map-side combining makes
-    small. Both read the same shuffle of ``left``.
+    Hot keys of the left side are split by AQE. It cannot split the right side
+    of a left join, so keys that are hot there are joined apart: their right
+    rows are dealt into slots and their left rows copied once per slot. Every
+    such left row has a match, so an inner join is enough for them. All other
+    rows take the ordinary left join, and all of them do when no key is hot.
 
     ``keys`` maps left columns to right columns; the right columns must have
     names of their own, and all of them stay in the result.
     """
-
-    def matches(one: DataFrame, two: DataFrame) -> Column:
-        pairs = [
-            one[a].eqNullSafe(two[b]) if null_safe else one[a] == two[b] for a, b in keys.items()
-        ]
-        return reduce(lambda x, y: x & y, pairs)
-
-    matched = left.join(right, matches(left, right), "inner")
-    known = right.select(*keys.values()).distinct()
-    unmatched = left.join(known, matches(left, known), "left_anti")
-    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.unionByName(unmatched.select("*", *blanks))
+    theirs = list(keys.values())
+
+    def same(one: DataFrame, two: DataFrame, ours: list[str], safe: bool) -> Column:
+        pairs = zip(ours, theirs)
+        return reduce(
+            lambda x, y: x & y,
+            [one[a].eqNullSafe(two[b]) if safe else one[a] == two[b] for a, b in pairs],
+        )
+
+    def joined(one: DataFrame, two: DataFrame) -> DataFrame:
+        return one.join(two, same(one, two, list(keys), null_safe), "left")
+
+    present = right if null_safe else right.dropna(subset=theirs)
+    hot = hot_keys(present, theirs, rows_per_task)
+    if hot is None:
+        return joined(left, right)
+
+    def dealt(side: DataFrame, ours: list[str], slot: Column) -> DataFrame:
+        named = hot.withColumnsRenamed({k: f"_hot_{k}" for k in theirs})
+        match = [side[a].eqNullSafe(named[f"_hot_{b}"]) for a, b in zip(ours, theirs)]
+        kept = side.join(F.broadcast(named), reduce(lambda x, y: x & y, match))
+        return kept.withColumn("_slot", slot).drop("_slots", *[f"_hot_{k}" for k in theirs])
+
+    def others(side: DataFrame, ours: list[str]) -> DataFrame:
+        return side.join(F.broadcast(hot), same(side, hot, ours, True), "left_anti")
+
+    copies = dealt(left, list(keys), F.explode(F.sequence(F.lit(0), F.col("_slots") - 1)))
+    slot = F.pmod(F.xxhash64(*right.columns), F.col("_slots")).cast("int")
+    pieces = dealt(right, theirs, slot).withColumnRenamed("_slot", "_right_slot")
+    on = same(copies, pieces, list(keys), True) & (copies["_slot"] == pieces["_right_slot"])
+    matched = copies.join(pieces, on).drop("_slot", "_right_slot")
+    return joined(others(left, list(keys)), others(right, theirs)).unionByName(matched)
 
 
 def spread_nulls(key: Column, *row: str) -> Column:

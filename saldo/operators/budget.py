@@ -17,7 +17,7 @@ def budget_cc_map(year_maps: list[DataFrame], cost_centers: DataFrame) -> DataFr
     ``cost_center_hierarchy``.
     """
     named = [
-        lookup_join(years.select("cc", F.col("ano").cast("int").alias("ano")), cost_centers, "cc")
+        years.select("cc", F.col("ano").cast("int").alias("ano")).join(cost_centers, "cc", "left")
         for years in year_maps
     ]
     merged = named[0]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.functions.dates import in_years
-from saldo.functions.joins import lookup_join, outer_by_parts
+from saldo.functions.joins import lookup_join, skewed_left_join
 from saldo.functions.numbers import times_count
 from saldo.functions.text import fold_case, folded_in
 from saldo.operators.mappings import EXPENSE_GROUPS
@@ -101,9 +101,9 @@ def _zero_if_null(df: DataFrame, column: str) -> Column:
 def plan_actual(planned: DataFrame, executed: DataFrame, strict: bool = False) -> DataFrame:
     """Planned and executed amount of every key, row by row.
 
-    Planned rows are not aggregated, so several may share a key and a popular
-    one may hold a large part of them; that join is made in two parts. Keys
-    with NULL never match and give 0 and 0. ``strict`` compares all seven keys.
+    Planned rows are not aggregated, so a popular key may hold a large part of
+    them. Keys with NULL never match and give 0 and 0. ``strict`` compares all
+    seven keys.
     """
     on = _matching(strict)
     keys = plan_actual_keys(planned, executed)
@@ -111,7 +111,7 @@ def plan_actual(planned: DataFrame, executed: DataFrame, strict: bool = False) -
         planned.select(*on, F.col("nm_natorcamentonvl4").alias("_plano"), "vl_ajustado"), on, "p"
     )
     actual = executed.select(*on, F.col("nm_descnvl4").alias("_real"), "vl_valor")
-    joined = outer_by_parts(keys, budget, budget_on).join(actual, on, "left")
+    joined = skewed_left_join(keys, budget, budget_on).join(actual, on, "left")
     return joined.select(
         *KEYS,
         F.upper(F.coalesce("_plano", "_real")).alias(NATURE),
@@ -120,15 +120,11 @@ def plan_actual(planned: DataFrame, executed: DataFrame, strict: bool = False) -
     )
 
 
-def plan_actual_totals(
-    planned: DataFrame, executed: DataFrame, by: list[str], strict: bool = False
-) -> DataFrame:
-    """``planejado`` and ``executado`` of the report's rows, summed by ``by``.
+def plan_actual_lines(planned: DataFrame, executed: DataFrame, strict: bool = False) -> DataFrame:
+    """The report's amounts per key and nature, without its repeated rows.
 
-    The same totals as summing ``plan_actual``, without making its repeated
-    rows: both sides are summed per key first, and each sum is multiplied by
-    the number of rows it would have been repeated for. Groups with a NULL key
-    are left out.
+    Both sides are summed per key first, and each sum is multiplied by the
+    number of rows it would have been repeated for in ``plan_actual``.
     """
     on = _matching(strict)
     scale = planned.schema["vl_ajustado"].dataType.scale
@@ -138,23 +134,23 @@ def plan_actual_totals(
     actual = executed.groupBy(*on, F.col("nm_descnvl4").alias("_real")).agg(
         F.sum("vl_valor").alias("_executado"), F.count(F.lit(1)).alias("_reais")
     )
-    keys = plan_actual_keys(planned, executed)
-    rows = keys.join(budget, on, "left").join(actual, on, "left")
+    rows = plan_actual_keys(planned, executed).join(budget, on, "left").join(actual, on, "left")
     zero, one = F.lit(0).cast(f"decimal(38,{scale})"), F.lit(1)
-    rows = rows.withColumns(
-        {
-            NATURE: F.upper(F.coalesce("_plano", "_real")),
-            "planejado": times_count(
-                F.coalesce("_planejado", zero), F.coalesce("_reais", one), scale
-            ),
-            "executado": times_count(
-                F.coalesce("_executado", zero), F.coalesce("_planos", one), scale
-            ),
-        }
+    planned_sum = times_count(F.coalesce("_planejado", zero), F.coalesce("_reais", one), scale)
+    actual_sum = times_count(F.coalesce("_executado", zero), F.coalesce("_planos", one), scale)
+    return rows.select(
+        *KEYS,
+        F.upper(F.coalesce("_plano", "_real")).alias(NATURE),
+        planned_sum.alias("planejado"),
+        actual_sum.alias("executado"),
     )
+
+
+def totals(lines: DataFrame, by: list[str]) -> DataFrame:
+    """``planejado`` and ``executado`` summed by ``by``, without groups that have a NULL key."""
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
     return (
-        rows.filter(present)
+        lines.filter(present)
         .groupBy(*by)
         .agg(F.sum("planejado").alias("planejado"), F.sum("executado").alias("executado"))
     )
