@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,20 +24,31 @@ def _planned_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _estimate_is_loose(df: DataFrame) -> bool:
+    """Whether the plan joins or groups: a join counts as the product of its sides."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return True
+    text = plan.queryExecution().optimizedPlan().toString()
+    return re.search(r"^[\s:+-]*(Join|Aggregate|Generate)\b", text, re.MULTILINE) is not None
+
+
 def small_copy(
     df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame | None:
     """A table proven small enough to ship to every executor, else None.
 
-    Where the plan estimate is already under the limit nothing is run. The
-    estimate of a derived table is far too high (a join counts as the product
-    of its sides), so such a table is computed up to one row over the limit
-    and kept as a checkpoint: if it ends before the limit, the copy is the
-    whole table and the join reads it instead of computing it again.
+    The plan estimate decides without running anything, for a stored table
+    either way. The estimate of a derived table may be far too high, so such a
+    table is computed up to one row over the limit and kept as a checkpoint: if
+    it ends before the limit, the copy is the whole table and the join reads it
+    instead of computing it again.
     """
     planned = _planned_bytes(df)
     if planned is not None and planned <= max_bytes:
         return df
+    if planned is not None and not _estimate_is_loose(df):
+        return None
     ensure_checkpoint_dir(df.sparkSession)
     start = df.limit(max_rows + 1).checkpoint()
     return start if start.count() <= max_rows else None
@@ -83,9 +95,11 @@ def skewed_left_join(
     keys: dict[str, str],
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join for two large tables whose hot keys may sit on either side.
 
+    A right side under the broadcast limit is broadcast; keys do not matter then.
     Hot keys of the left side are split by AQE. It cannot split the right side
     of a left join, so keys that are hot there are joined apart: their right
     rows are dealt into slots and their left rows copied once per slot. Every
@@ -107,6 +121,10 @@ def skewed_left_join(
     def joined(one: DataFrame, two: DataFrame) -> DataFrame:
         return one.join(two, same(one, two, list(keys), null_safe), "left")
 
+    planned = _planned_bytes(right)
+    if planned is not None and planned <= max_bytes:
+        return joined(left, F.broadcast(right))
+
     present = right if null_safe else right.dropna(subset=theirs)
     hot = hot_keys(present, theirs, rows_per_task)
     if hot is None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.functions.joins import skewed_left_join
 from saldo.operators.mappings import (
     CANCELLED_STATUS,
     EXCLUDED_CASH_BOX,
@@ -55,9 +56,9 @@ def receivables_filters(
 
 def with_movement(instalments: DataFrame, movements: DataFrame) -> DataFrame:
     """Left join on the movement id; the 30 output columns."""
-    side = movements.select("idmov", "valorbrutoorig", "codtmv")
+    side = movements.select(F.col("idmov").alias("_idmov"), "valorbrutoorig", "codtmv")
     base = instalments.select(*INSTALMENT_COLUMNS).withColumnsRenamed(RENAMED)
-    return base.join(side, "idmov", "left")
+    return skewed_left_join(base, side, {"idmov": "_idmov"}).drop("_idmov")
 
 
 def receivables(

@@ -1,0 +1,144 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from saldo.functions import joins, numbers, ranking, text
+from saldo.functions.dates import in_years
+
+
+def values(df, column):
+    return [row[column] for row in df.collect()]
+
+
+def test_local_number(spark):
+    df = spark.createDataFrame([("1.234,56",), ("x",), (None,), ("1,5d",)], "v string")
+    assert values(df.select(text.local_number("v").alias("n")), "n") == [1234.56, 0.0, 0.0, 0.0]
+
+
+def test_plain_number_takes_missing_and_nan_as_zero(spark):
+    df = spark.createDataFrame([(" 12.5 ",), ("nan",), ("",), (None,)], "v string")
+    assert values(df.select(text.plain_number("v").alias("n")), "n") == [12.5, 0.0, 0.0, 0.0]
+
+
+def test_money_scale_is_half_even(spark):
+    df = spark.createDataFrame(
+        [("0.000000005",), ("0.000000015",), ("1" * 21,), ("1" * 20,), ("abc",), (None,)], "v string"
+    )
+    got = values(df.select(numbers.money("v").alias("n")), "n")
+    assert got == [Decimal("0E-8"), Decimal("2E-8"), None, Decimal("1" * 20), None, None]
+    assert dict(df.select(numbers.money("v").alias("n")).dtypes)["n"] == "decimal(38,8)"
+
+
+def test_whole_number_cuts_toward_zero(spark):
+    df = spark.createDataFrame([("2025.7",), ("-3.9",), ("x",), (None,), ("1e30",)], "v string")
+    assert values(df.select(numbers.whole_number("v").alias("n")), "n") == [2025, -3, 0, 0, 0]
+
+
+def test_half_up_and_change(spark):
+    df = spark.createDataFrame([(2.5,), (-2.5,), (2.4,)], "v double")
+    assert values(df.select(numbers.half_up(F.col("v")).alias("n")), "n") == [3, -2, 2]
+    pairs = spark.createDataFrame([(0, 5), (10, 5), (0, 0), (-10, 5)], "a int, b int")
+    change = pairs.select(numbers.change_percent(F.col("a"), F.col("b")).alias("n"))
+    assert values(change, "n") == [100.0, -50.0, 0.0, 100.0]
+
+
+def test_times_count_keeps_all_places(spark):
+    df = spark.createDataFrame([(Decimal("1.00000001"), 3)], "v decimal(38,8), n bigint")
+    product = df.select(numbers.times_count(F.col("v"), F.col("n")).alias("p"))
+    assert values(product, "p") == [Decimal("3.00000003")]
+    assert product.dtypes == [("p", "decimal(38,8)")]
+
+
+def test_collation_key(spark):
+    df = spark.createDataFrame(
+        [("INAUGURAÇÃO ", None), ("inauguracao", ""), ("Inauguração", "x")], "a string, b string"
+    )
+    keys = values(df.select(text.collation_key("a", "b").alias("k")), "k")
+    assert keys == ["inauguracao", "inauguracao", "inauguracaox"]
+
+
+def test_in_years_covers_whole_months(spark):
+    df = spark.sql(
+        "select explode(array(date'1999-01-01', date'1999-03-31', date'1999-04-01', date'2000-12-31')) as d"
+    )
+    assert df.filter(in_years("d", [1999], 3)).count() == 2
+    assert df.filter(in_years("d", [1999, 2000])).count() == 4
+
+
+def _sides(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (9, "e")], "k int, l string")
+    rows = [(1, n) for n in range(500)] + [(2, 1000), (3, 1001), (None, 1002)]
+    return left, spark.createDataFrame(rows, "rk int, r int")
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_skewed_left_join_equals_left_join(spark, null_safe):
+    left, right = _sides(spark)
+    split = joins.skewed_left_join(left, right, {"k": "rk"}, null_safe, rows_per_task=100, max_bytes=0)
+    same = left.k.eqNullSafe(right.rk) if null_safe else left.k == right.rk
+    plain = left.join(right, same, "left")
+    assert joins.hot_keys(right, ["rk"], 100).select("rk", "_slots").collect() == [(1, 5)]
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
+    assert split.columns == plain.columns
+
+
+def test_skewed_left_join_with_null_as_the_hot_key(spark):
+    left = spark.createDataFrame([(None, "a"), (1, "b")], "k int, l string")
+    right = spark.createDataFrame([(None, n) for n in range(300)] + [(1, -1)], "rk int, r int")
+    split = joins.skewed_left_join(left, right, {"k": "rk"}, True, rows_per_task=100, max_bytes=0)
+    assert split.count() == 301
+    assert joins.skewed_left_join(left, right, {"k": "rk"}, False, rows_per_task=100, max_bytes=0).count() == 2
+
+
+def test_no_hot_key_means_one_plain_join(spark):
+    left, right = _sides(spark)
+    plan = joins.skewed_left_join(left, right, {"k": "rk"}, max_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+
+
+def test_small_copy_bounds_what_is_broadcast(spark):
+    wide = spark.range(1000).join(spark.range(1000).withColumnRenamed("id", "b"), F.col("id") == F.col("b"))
+    assert joins.small_copy(wide, max_bytes=10, max_rows=999) is None
+    kept = joins.small_copy(wide, max_bytes=10, max_rows=1000)
+    assert kept.count() == 1000
+
+
+def test_stored_tables_are_judged_by_their_size_alone(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert joins.small_copy(stored, max_bytes=10) is None
+    assert joins.small_copy(stored) is stored
+    assert joins.small_copy(stored.distinct(), max_bytes=10).count() == 1000
+
+
+def test_lookup_join_without_broadcast_gives_the_same_rows(spark, monkeypatch):
+    left = spark.range(100).withColumn("k", F.col("id") % 7)
+    right = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    near = sorted(map(tuple, joins.lookup_join(left, right, "k").collect()), key=repr)
+    monkeypatch.setattr(joins, "small_copy", lambda df: None)
+    far = sorted(map(tuple, joins.lookup_join(left, right, "k").collect()), key=repr)
+    assert near == far and len(near) == 100
+
+
+def test_spread_nulls_never_match(spark):
+    left = spark.createDataFrame([(None, 1), (None, 2), ("5", 3)], "k string, id int")
+    key = left.select(joins.spread_nulls(F.col("k"), "id").alias("s"))
+    found = values(key, "s")
+    assert found[2] == "5" and len(set(found)) == 3 and all(v.startswith("\x00") for v in found[:2])
+
+
+def test_number_rows_is_one_sequence_over_all_partitions(spark):
+    df = spark.range(1000).select((F.col("id") % 10).alias("v"), F.col("id").alias("name"))
+    ranked = ranking.number_rows(df.repartition(7), "posicao", F.desc("v"), F.asc("name"))
+    got = [tuple(r) for r in ranked.orderBy("posicao").select("v", "name", "posicao").collect()]
+    expected = sorted(((n % 10, n) for n in range(1000)), key=lambda p: (-p[0], p[1]))
+    assert got == [(v, n, i) for i, (v, n) in enumerate(expected, start=1)]
+
+
+def test_first_rows_are_limited_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("g"), "id")
+    top = ranking.first_rows(df, 3, ["g"], F.desc("id"))
+    assert sorted(r["id"] for r in top.collect()) == [994, 995, 996, 997, 998, 999]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")
