@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE = "region|nation|supplier|customer|part|orders|lineitem"
 OLD, NEW, LAST_MONTH, AS_OF, FIRST_DUE = 1999, 2000, 3, "2000-06-30", "1999-01-01"
@@ -186,6 +187,17 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     return f"with {', '.join(parts)} {sql}" if parts else sql
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; its schema is looked up in the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view over the parquet tables of a folder."""
     text = with_views(f"select * from {name}")
@@ -197,5 +209,4 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     text = text.replace("{", "{{").replace("}", "}}")
     text = re.sub(rf"\b((?:from|join)\s+)({BASE})\b", mark, text)
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
-    return spark.sql(text, **tables)
+    return spark.sql(text, **{t: base_table(spark, sf_dir, t) for t in used})

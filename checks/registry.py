@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import AS_OF, FIRST_DUE, LAST_MONTH, NEW, OLD, PLANS, view
+from checks.fixtures import AS_OF, FIRST_DUE, LAST_MONTH, NEW, OLD, PLANS, base_table, view
 from saldo.functions.text import collation_key, local_number
 from saldo.operators import (
     budget,
@@ -81,7 +81,7 @@ def _documents(spark, sf):
         F.lit(" &amp; outros</td><td><span class='dado-valores'> R$ "), local,
         F.lit("</span></td></tr><tr><td>b.1) "), F.col("p_brand"), F.lit("</td><td>-</td></tr></table>"),
     )
-    parts = spark.read.parquet(f"{sf}/part.parquet")
+    parts = base_table(spark, sf, "part")
     return parts.select(
         F.col("p_partkey").alias("id"),
         F.col("p_size").cast("string").alias("fundo"),
@@ -267,7 +267,7 @@ def rename_standard(spark, sf):
 
 @_query
 def rename_fallback(spark, sf):
-    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    orders = base_table(spark, sf, "orders")
     raw = orders.select(
         F.col("o_orderkey").alias(" Valor (R$)"),
         F.col("o_custkey").alias("[Foto].[Foto].[Nome].[MEMBER_CAPTION]"),
@@ -305,7 +305,7 @@ def quality_metrics(spark, sf):
 @_query
 def numeric_stats(spark, sf):
     columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "vl_preco"]
-    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    lines = base_table(spark, sf, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(18,2)").alias("vl_preco")
     return quality.numeric_stats(lines.withColumn("vl_preco", price).select(*columns))
 

@@ -60,6 +60,11 @@ def rename_standard(df: DataFrame, known: dict[str, str] = COLUMN_NAMES) -> Data
     return df.toDF(*[names[c] for c in df.columns])
 
 
+def is_fund_report(df: DataFrame) -> bool:
+    """Whether an extracted table is a fund report, told by its value column."""
+    return FUND_COLUMN in {c.lower().strip() for c in df.columns}
+
+
 def parse_fund_values(df: DataFrame) -> DataFrame:
     """Fund rows: ``vl_valor_str`` in local format becomes ``vl_valor``."""
     return df.withColumn("vl_valor", local_number("vl_valor_str")).drop("vl_valor_str")
@@ -109,9 +114,8 @@ def standardize(df: DataFrame) -> DataFrame:
     A table with a ``valor_str`` column is a fund report; all others take the
     common path.
     """
-    fund = FUND_COLUMN in {c.lower().strip() for c in df.columns}
     named = rename_standard(df)
-    if fund:
+    if is_fund_report(df):
         named = parse_fund_values(named)
     elif "vl_valor" in named.columns:
         named = parse_value_column(named)

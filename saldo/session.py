@@ -40,8 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     on the driver's disk.
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
-    if configured:
-        return configured.rstrip("/")
+    chosen = configured or spark.sparkContext.getCheckpointDir()
+    if chosen:
+        return chosen.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
     own = tempfile.mkdtemp(prefix="saldo-")

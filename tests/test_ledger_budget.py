@@ -150,6 +150,11 @@ def test_cost_centers_correct_project_names(spark):
     assert got["00002.000001.001"] is None and len(got) == 3
 
 
+def test_concat_key_takes_missing_names_as_empty(spark):
+    centers = spark.createDataFrame([("c", None, "Projeto", "Ação")], "cc string, acao string, projeto string, unidade string")
+    assert hierarchy.concat_key(centers).first().chave_concat == "PROJETOAÇÃO"
+
+
 def test_budget_matches_without_case_accents_and_blanks(spark):
     years = spark.createDataFrame(
         [("00001.000001.002", "2025"), ("00002.000001.001", "2025"), ("00001.000001.002", "2025")],

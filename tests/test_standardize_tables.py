@@ -142,6 +142,31 @@ def test_refresh_stores_audits_and_survives_failures(spark):
     assert not spark.catalog.tableExists("fin_seca")
 
 
+def test_fund_refresh_audits_its_indicators(spark):
+    trail = work_path(spark, "auditoria")
+    fund = spark.createDataFrame([("a.1) x", "1,50"), ("b.2) y", "2,00")], "Descricao string, Valor_Str string")
+    refresh_all({"fidc": lambda: fund}, "2026-01-02 03:04:05", trail)
+    details = json.loads(spark.read.parquet(trail).first().detalhes_json)
+    assert details["kpis_gerais"] == {
+        "total_linhas": 2, "total_colunas": 2, "soma_inadimplentes_ate_360_dias": 1.5,
+        "soma_pagos_antecipadamente_ate_360_dias": 2.0, "soma_total": 3.5,
+    }
+    assert "estatisticas_numericas" not in details
+
+
+def test_null_cells_of_a_wide_table(spark):
+    wide = spark.range(3).select(*[F.when(F.col("id") > 0, F.col("id")).alias(f"c{n}") for n in range(400)])
+    assert quality.quality_metrics(wide).first()["total_nulos"] == 400
+
+
+def test_unreadable_table_is_empty(spark):
+    name = tables.load_replace(spark.range(2), "some ida")
+    spark.sql(f"create or replace view {name}_x as select 1 as a")
+    spark.sql(f"create or replace view {name} as select * from {name}_x")
+    spark.sql(f"drop view {name}_x")
+    assert tables.read_back(spark, "some ida").columns == []
+
+
 def test_standardized_leaves_out_empty_and_broken(spark):
     rows = spark.createDataFrame([("x",)], "CC string")
     ready = standardized({"A": lambda: rows, "b": lambda: rows.limit(0), "c": lambda: 1 / 0}, ["a", "B", "c"])
