@@ -6,10 +6,12 @@ Documents have (id, fundo, tipo_documento, data_referencia, content), where
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from saldo.operators.mappings import FUND_REPORT_TYPE, FUND_TABLE_HEADING
 
 VALUE_CLASS = "dado-valores"
 
+# The page walk travels with its task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def select_fund_documents(
     documents: DataFrame, wanted: DataFrame | None = None, required: bool = False
