@@ -317,7 +317,7 @@ def fund_kpis(spark, sf):
 
 @_query
 def load_replace(spark, sf):
-    tables.load_replace(view(spark, sf, "fx_plan"), "plano carga")
+    tables.load_replace(view(spark, sf, "fx_plan"), "plano carga", cluster_by="vl_ano")
     return tables.read_back(spark, "plano carga")
 
 
@@ -363,7 +363,10 @@ def refresh_dataset(spark, sf):
         )
 
     ready = standardized({"inadim": build}, ["INADIM"])
-    refresh_all({name: (lambda: build()) for name in ready}, RUN_AT, work_path(spark, "auditoria"))
+    refresh_all(
+        {name: build for name in ready}, RUN_AT, work_path(spark, "auditoria"),
+        cluster_by={"inadim": "dt_datavencimento"},
+    )
     return tables.read_back(spark, "inadim").select(
         "cdg_idlan", "cdg_idmov", "nm_recibo", "nm_descstatuslcto", "dt_datavencimento", "dt_databaixa",
         "vl_valororiginal", "vl_valorbaixado", "vl_txcartao", "vl_bruto", "cdg_codtmv", "nm_historico",

@@ -93,6 +93,28 @@ def test_replace_twice_keeps_one_copy_and_failure_keeps_the_old(spark):
     assert tables.read_back(spark, "teste troca").count() == 5
 
 
+def test_clustered_files_cover_short_ranges_even_with_a_hot_value(spark):
+    days = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 50).alias("dia")
+    rows = spark.range(0, 30_000, 1, 4).select("id", days)
+    spread = tables.clustered(rows, "dia").groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count("*").alias("n"), F.min("dia").alias("lo"), F.max("dia").alias("hi")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = spread.orderBy("p").collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(p.n for p in parts) == 30_000 and len(parts) > 1
+    assert all(a.hi <= b.lo for a, b in zip(parts, parts[1:]))
+    assert max(p.n for p in parts) < 15_000
+
+
+def test_clustered_refresh_counts_once(spark):
+    trail = work_path(spark, "auditoria")
+    rows = spark.range(500).select(F.col("id").alias("IDLAN"), (F.col("id") % 9).cast("int").alias("vl_mes"))
+    refresh_all({"ordenada": lambda: rows}, "2026-01-02 03:04:05", trail, cluster_by={"ordenada": "vl_mes"})
+    assert spark.read.parquet(trail).first().total_linhas == 500
+    assert tables.read_back(spark, "ordenada").count() == 500
+
+
 def test_typed_columns_of_a_stored_table(spark):
     df = spark.createDataFrame([("2025", 1, 2)], "vl_ano string, vl_qtd int, cdg int")
     assert tables.typed(df).dtypes == [("vl_ano", "int"), ("vl_qtd", "decimal(38,8)"), ("cdg", "int")]
