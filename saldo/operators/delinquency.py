@@ -225,7 +225,7 @@ def share_by_count(flags: DataFrame) -> DataFrame:
 def _per_invoice(flags: DataFrame, paid_only: bool) -> DataFrame:
     """One row per due month and invoice: gross counted once, paid and open summed.
 
-    The gross amount is that of the lowest instalment id. All parts are
+    The gross amount is that of the lowest instalment id. All parts are hash
     aggregates, so the invoices without id, which share one key, combine
     inside each task.
     """
@@ -233,7 +233,7 @@ def _per_invoice(flags: DataFrame, paid_only: bool) -> DataFrame:
     paid = F.when(is_paid, F.col("vl_valorbaixado")) if paid_only else F.col("vl_valorbaixado")
     still = F.when(F.col("status_simplificado") == OPEN, F.col("vl_valororiginal"))
     return flags.groupBy(*PERIOD, "cdg_idmov").agg(
-        F.min_by("vl_bruto", F.struct("cdg_idlan", "vl_bruto")).alias("_bruto"),
+        F.coalesce(F.min_by("vl_bruto", "cdg_idlan"), F.min("vl_bruto")).alias("_bruto"),
         F.sum(paid).alias("_baixado"),
         F.sum(still).alias("_aberto"),
     )

@@ -47,3 +47,11 @@ def test_date_filter_and_columns_reach_the_scan(spark, small):
 def test_account_lookups_do_not_shuffle_the_ledger(spark, small):
     text = plan(QUERIES["recode_account"](spark, small))
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_invoice_shares_use_hash_aggregates(spark, small):
+    assert "SortAggregate" not in plan(QUERIES["share_by_value"](spark, small))
+
+
+def test_refresh_date_filter_reaches_the_instalments(spark, small):
+    assert "GreaterThanOrEqual(l_shipdate" in plan(QUERIES["cash_timeline"](spark, small))
