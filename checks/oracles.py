@@ -366,7 +366,7 @@ _add("plan_actual_nature", "select * from naturezas", _TOTALS)
 _add("plan_actual_project", "select * from projetos", _TOTALS)
 _add(
     "plan_actual_nested",
-    """select nm_unidade, '{'||string_agg('"'||nm_iniciativa||'":{'||anos||'}', ',' order by nm_iniciativa)||'}' as iniciativas
+    """select nm_unidade, cast(0 as integer) as parte, '{'||string_agg('"'||nm_iniciativa||'":{'||anos||'}', ',' order by nm_iniciativa)||'}' as iniciativas
        from (select nm_unidade, nm_iniciativa, string_agg('"'||vl_ano||'":{"planejado":'||planejado||',"executado":'
                     ||executado||'}', ',' order by vl_ano) as anos from projetos group by 1, 2) p group by 1""",
     _TOTALS,

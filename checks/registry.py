@@ -434,7 +434,8 @@ def plan_actual_project(spark, sf):
 
 @_query
 def plan_actual_nested(spark, sf):
-    return planactual.plan_actual_nested(_totals(spark, sf, planactual.BY_PROJECT))
+    payload = reports.plan_payload(_planned(spark, sf), _executed(spark, sf))
+    return planactual.plan_actual_nested(payload["projeto"])
 
 
 @_query

@@ -9,6 +9,7 @@ from saldo.functions.numbers import change_percent, half_up
 from saldo.functions.ranking import number_rows
 from saldo.operators.mappings import MONTH_NAMES
 from saldo.operators.planactual import NATURE
+from saldo.session import ensure_checkpoint_dir
 
 NAME_LENGTH = 20
 
@@ -76,8 +77,10 @@ def nature_scaled(natures: DataFrame, old: int, new: int) -> DataFrame:
     """Position of both years relative to the unit's largest value, which is at least 1.
 
     The maximum is an aggregate per unit joined back, so no unit's natures
-    have to meet in one task.
+    have to meet in one task. Both sides read one checkpoint of the table.
     """
+    ensure_checkpoint_dir(natures.sparkSession)
+    natures = natures.checkpoint()
     top = natures.groupBy("nm_unidade").agg(
         F.greatest(F.max(F.greatest(f"executado_{old}", f"executado_{new}")), F.lit(1)).alias("_topo")
     )

@@ -18,6 +18,7 @@ KEYS = ["vl_ano", "vl_mes", "nm_iniciativa", "nm_acao", "nm_unidade", "nm_cc", "
 # keys that differ in nothing else repeat each other's amounts.
 MATCHED = ["vl_ano", "vl_mes", "nm_iniciativa", "nm_cc", "cdg_natorcamentonvl4"]
 NATURE = "descricao_natureza_orcamentaria"
+DOCUMENT_ENTRIES = 50_000
 
 BY_MONTH = ["nm_unidade", "vl_ano", "vl_mes"]
 BY_NATURE = ["nm_unidade", "vl_ano", NATURE]
@@ -156,21 +157,27 @@ def totals(lines: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def plan_actual_nested(project_totals: DataFrame) -> DataFrame:
-    """One row per unit with JSON initiative -> year -> planned and executed.
+def plan_actual_nested(project_totals: DataFrame, entries: int = DOCUMENT_ENTRIES) -> DataFrame:
+    """Per unit, JSON initiative -> year -> planned and executed.
 
-    Works on project totals: at most one entry per initiative and year, so a
-    unit's document is as long as its list of initiatives.
+    Works on project totals. A unit is one document (``parte`` 0) up to about
+    ``entries`` initiatives; a larger one is dealt into several, so that no
+    document grows without bound.
     """
     amounts = F.struct("planejado", "executado")
-    years = F.array_sort(F.collect_list(F.struct(F.col("vl_ano").cast("string").alias("k"), amounts.alias("v"))))
+    year = F.struct(F.col("vl_ano").cast("string").alias("k"), amounts.alias("v"))
     per_project = project_totals.groupBy("nm_unidade", "nm_iniciativa").agg(
-        F.map_from_entries(years).alias("anos")
+        F.map_from_entries(F.array_sort(F.collect_list(year))).alias("anos")
     )
+    sizes = project_totals.groupBy("nm_unidade").agg(
+        F.ceil(F.count(F.lit(1)) / (2 * entries)).alias("_partes")
+    )
+    part = F.pmod(F.xxhash64("nm_iniciativa"), F.col("_partes")).cast("int")
+    dealt = per_project.join(sizes, "nm_unidade").withColumn("parte", part)
     projects = F.collect_list(F.struct(F.col("nm_iniciativa").alias("k"), F.col("anos").alias("v")))
     ordered = F.array_sort(
         projects, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
     )
-    return per_project.groupBy("nm_unidade").agg(
+    return dealt.groupBy("nm_unidade", "parte").agg(
         F.to_json(F.map_from_entries(ordered)).alias("iniciativas")
     )

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -190,8 +191,19 @@ def test_nested_document(spark):
         [("U", "b", 2026, Decimal(1), Decimal(2)), ("U", "a", 2026, Decimal(3), Decimal(4)), ("U", "a", 2025, Decimal(5), Decimal(6))],
         "nm_unidade string, nm_iniciativa string, vl_ano int, planejado decimal(10,0), executado decimal(10,0)",
     )
-    text = planactual.plan_actual_nested(totals).first().iniciativas
-    assert text == (
+    row = planactual.plan_actual_nested(totals).first()
+    assert row.parte == 0 and row.iniciativas == (
         '{"a":{"2025":{"planejado":5,"executado":6},"2026":{"planejado":3,"executado":4}},'
         '"b":{"2026":{"planejado":1,"executado":2}}}'
     )
+
+
+def test_large_units_become_several_documents(spark):
+    totals = spark.range(300).select(
+        F.lit("U").alias("nm_unidade"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("nm_iniciativa"),
+        F.lit(2026).alias("vl_ano"), F.col("id").alias("planejado"), F.lit(1).alias("executado"),
+    )
+    parts = planactual.plan_actual_nested(totals, entries=10).collect()
+    found = [name for r in parts for name in json.loads(r.iniciativas)]
+    assert len(parts) > 10 and len(found) == len(set(found)) == 300
+    assert max(len(json.loads(r.iniciativas)) for r in parts) < 60
