@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saldo.functions.numbers import money, whole_number
+from saldo.functions.numbers import MONEY, money, whole_number
 from saldo.functions.text import local_number, plain_number
 from saldo.operators.mappings import COLUMN_NAMES
 
@@ -96,9 +96,19 @@ def is_money(field: T.StructField) -> bool:
     return field.name.lower().startswith("vl_") and loose
 
 
+def _scaled(field: T.StructField) -> Column:
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.DecimalType) and kind.scale <= 8 and kind.precision - kind.scale <= 20:
+        return column.cast(MONEY)
+    return money(column)
+
+
 def decimal_scale(df: DataFrame) -> DataFrame:
-    """Money columns at a fixed scale of 8, decided from the declared types."""
-    chosen = {f.name: money(F.col(f"`{f.name}`")) for f in df.schema.fields if is_money(f)}
+    """Money columns at a fixed scale of 8, decided from the declared types.
+
+    A decimal that fits as it is gets a plain cast; only others are rounded.
+    """
+    chosen = {f.name: _scaled(f) for f in df.schema.fields if is_money(f)}
     return df.withColumns(chosen) if chosen else df
 
 

@@ -64,6 +64,13 @@ def test_money_and_year_columns_by_declared_type(spark):
     }
 
 
+def test_wide_decimals_are_rounded_or_dropped(spark):
+    df = spark.sql("select cast(x as decimal(38,9)) as vl_a, cast(y as decimal(38,2)) as vl_b from values "
+                   "('0.000000015', '1.25'), ('1', '123456789012345678901') as t(x, y)")
+    rows = standardize.decimal_scale(df).collect()
+    assert [tuple(r) for r in rows] == [(Decimal("2E-8"), Decimal("1.25")), (Decimal(1), None)]
+
+
 def test_fund_path_parses_values(spark):
     df = spark.createDataFrame(
         [(" a.1) x", "1.000,50"), ("a.8) x", "5,00"), ("b.7) x", "2,00"), ("a.10) x", "9,00"), (" b.1)", "-")],
