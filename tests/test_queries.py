@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import differences, duck
+from checks.oracles import all_oracles
+from checks.registry import all_queries
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
 
 
