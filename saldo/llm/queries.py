@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import bpe, hostrules, langid, warc
+from saldo.llm import bpe, hostrules, langid, linededup, quotes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -45,6 +45,28 @@ def fold(buckets: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(buckets))
 
 
+@_query(
+    """
+    with l as (
+      select distinct doc_id, source, trim(x) as line
+      from (select doc_id, source, unnest(string_split(text, chr(10))) as x from documents) where trim(x) <> ''),
+    t as (select source, count(*) as pages from documents group by 1),
+    f as (
+      select l.source, list(line) as lines
+      from (select source, line, count(*) as n from l where source is not null group by 1, 2) l join t using (source)
+      where n >= 5 and n > pages * 0.1 group by 1),
+    d as (
+      select doc_id, string_split(text, chr(10)) as parts, coalesce(f.lines, []) as lines
+      from documents left join f using (source))
+    select doc_id, array_to_string(kept, chr(10)) as text, cast(coalesce(len(parts) - len(kept), 0) as integer) as lines_dropped
+    from (select doc_id, parts, list_filter(parts, lambda x: trim(x) = '' or not list_contains(lines, trim(x))) as kept from d)
+    """
+)
+def op1_line_dedup(spark, sf):
+    cleaned = linededup.remove_boilerplate(table(spark, sf, "documents"))
+    return cleaned.select("row.doc_id", F.col("text_kept").alias("text"), "lines_dropped")
+
+
 @_query()
 def op2_language_id(spark, sf):
     docs = table(spark, sf, "documents")
@@ -77,6 +99,44 @@ def op7_byte_bpe(spark, sf):
     return bpe.round_trip(table(spark, sf, "documents"), codec)
 
 
+@_query()
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    learned = table(spark, sf, "labels").filter(F.coalesce(fold(3) != 1, F.lit(True)))
+    found = toxicity.score(docs, toxicity.fit(docs, learned))
+    held_out = F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted")
+
+
 @_query()
 def op9_host_rules(spark, sf):
     return hostrules.judge(table(spark, sf, "documents")).drop("n_lines")
+
+
+@_query(
+    r"""
+    with recursive n as (
+      select conv_id, turn, min(text) as said,
+        lower(trim(regexp_replace(min(text), '\s+', ' ', 'g'))) as t from conversations group by 1, 2),
+    h as (select conv_id, t, min(turn) as first_turn from n where t <> '' group by 1, 2),
+    p as (
+      select n.conv_id, n.turn, coalesce(h1.first_turn, h2.first_turn) as parent
+      from n left join n n1 on n1.conv_id = n.conv_id and n1.turn = n.turn - 1
+        left join h h1 on h1.conv_id = n.conv_id and h1.t = n1.t and h1.first_turn < n.turn
+        left join n n2 on n2.conv_id = n.conv_id and n2.turn = n.turn - 2
+        left join h h2 on h2.conv_id = n.conv_id and h2.t = n2.t and h2.first_turn < n.turn),
+    w as (
+      select conv_id, turn, turn as root, 0 as depth from p where parent is null
+      union all
+      select p.conv_id, p.turn, w.root, w.depth + 1 from p join w on p.conv_id = w.conv_id and p.parent = w.turn)
+    select c.conv_id, c.turn, c.role, c.text as own_text,
+      case when p.parent is not null then c.conv_id end as parent_conv, p.parent as parent_turn,
+      c.conv_id as root_conv, w.root as root_turn, w.depth
+    from conversations c join p using (conv_id, turn) join w using (conv_id, turn)
+    """
+)
+def op10_quotation_linking(spark, sf):
+    replies = quotes.as_replies(table(spark, sf, "conversations"))
+    linked = quotes.conversations(replies, "conv_id", "turn", "text")
+    renamed = {"parent_thread": "parent_conv", "parent_place": "parent_turn", "root_thread": "root_conv", "root_place": "root_turn"}
+    return linked.select("row.conv_id", "row.turn", "row.role", "own_text", *[F.col(a).alias(b) for a, b in renamed.items()], "depth")
