@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import bpe, hostrules, langid, linededup, quotes, toxicity, warc
+from saldo.llm import bpe, hostrules, langid, linededup, pii, quotes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -75,6 +75,16 @@ def op2_language_id(spark, sf):
     return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+#: Of the registered query only; a deployment passes a secret of its own.
+SURROGATE_KEY = "registered-query"
+
+
+@_query()
+def op3_pii_surrogates(spark, sf):
+    replaced = pii.replace_entities(table(spark, sf, "documents"), SURROGATE_KEY)
+    return replaced.select("row.doc_id", F.col("text_clean").alias("text"), F.size("kinds").alias("n_entities"), "kinds")
+
+
 @_query(
     """
     with p as (
