@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import bpe, hostrules, langid, linededup, pii, quotes, toxicity, warc
+from saldo.llm import bpe, decontam, hostrules, langid, linededup, neardup, pii, quotes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -102,6 +102,16 @@ def op4_warc(spark, sf):
     return warc.read_archives(index, folder).drop("payload", "url")
 
 
+@_query()
+def op5_near_duplicates(spark, sf):
+    return neardup.classes(table(spark, sf, "documents"))
+
+
+@_query()
+def op6_decontamination(spark, sf):
+    return decontam.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @_query()
 def op7_byte_bpe(spark, sf):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
