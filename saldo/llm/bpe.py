@@ -23,10 +23,13 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.llm.textarrays import chunks
+
 MAX_PIECES, MAX_PAIRS = 1_000_000, 1_000_000
 
 
@@ -194,6 +197,17 @@ def decode(coded: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str = "i
     return _rows(joined, codec, "doc_id", "text", "data binary", lambda c, t: (c.decode_text(t),))
 
 
+def encoded(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256): the ids with the digests of ``round_trip``."""
+
+    def work(c: Codec, t: str) -> tuple:
+        ids = c.encode_text(t)
+        numbers = np.array(ids.split(), dtype=np.int32)
+        return numbers, len(numbers), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(c.decode_text(ids)).hexdigest()
+
+    return _rows(docs, codec, doc_id, text, "ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string", work)
+
+
 def round_trip(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the bytes decoded from them."""
 
@@ -211,9 +225,13 @@ def _rows(docs: DataFrame, codec: Codec, doc_id: str, text: str, schema: str, wo
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done = [work(shared.value, t if isinstance(t, str) else "") for t in batch["text"]]
-            out = {"doc_id": batch["doc_id"]} | {n: pd.Series([d[k] for d in done], dtype="int64" if n == "n_tokens" else object) for k, n in enumerate(names)}
-            yield pd.DataFrame(out)
+            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
+            for x, y in chunks(texts):
+                done = [work(shared.value, t) for t in texts[x:y]]
+                out = {"doc_id": batch["doc_id"].iloc[x:y].reset_index(drop=True)}
+                for k, n in enumerate(names):
+                    out[n] = pd.Series([d[k] for d in done], dtype="int64" if n == "n_tokens" else object)
+                yield pd.DataFrame(out)
 
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return narrow.mapInPandas(run, f"doc_id {dict(docs.dtypes)[doc_id]}, {schema}")

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.llm.textarrays import chunks, code_points
@@ -212,3 +212,19 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     kind = dict(docs.dtypes)[doc_id]
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return narrow.mapInPandas(score, f"doc_id {kind}, lang_pred string, score double")
+
+
+def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """A column struct<lang_pred, score> for each row; other columns do not pass through Python.
+
+    Marked as not deterministic, so that a filter on it does not run it twice.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def score(column: pd.Series) -> pd.DataFrame:
+        texts = [t if isinstance(t, str) else "" for t in column]
+        parts = [shared.value.predict(texts[a:b]) for a, b in chunks(texts)]
+        return pd.DataFrame({"lang_pred": [n for p in parts for n in p[0]], "score": [x for p in parts for x in p[1]]})
+
+    score.__annotations__ = {"column": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(score, "lang_pred string, score double").asNondeterministic()(F.col(text))
