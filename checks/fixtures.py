@@ -89,7 +89,9 @@ VIEWS = {
         from lineitem join orders on l_orderkey=o_orderkey""",
     "fx_fact": f"""
         select codccusto as nm_cc, {_PART} as nm_conta, cast(l_extendedprice as decimal(18,2)) as vl_valor,
-               cast(l_shipdate as date) as nm_data, s_name as nm_unidade, r_name as nm_projeto,
+               cast(l_shipdate as date) as nm_data,
+               case when l_linenumber%3=0 then concat(lower(s_name),' ') else s_name end as nm_unidade,
+               case when l_linenumber%4=0 then lower(r_name) else r_name end as nm_projeto,
                n_name as nm_acao, concat('N4 ',left({_PART},7)) as nm_descnvl4,
                case when l_partkey%4 in (0,2) then 'DESPESAS' else 'Receitas' end as nm_descnvl1,
                case when l_partkey%4=1 then 'REC A' when l_partkey%4=3 then 'REC B' else 'OUTROS' end as nm_descnvl3
@@ -130,7 +132,7 @@ VIEWS = {
         select o_orderkey as id,
                case when o_orderkey%11=0 then 'x' when o_orderkey%7=0 then null
                     else concat(cast(cast(floor(o_totalprice/1000) as int) as string),'.',
-                                lpad(cast(cast(floor(o_totalprice) as int)%1000 as string),3,'0'),',50')
+                                lpad(cast(cast(floor(o_totalprice) as int)%1000 as string),3,'0'),',50',o_orderkey%100)
                end as valor_str,
                concat(' ',case when o_orderkey%2=0 then 'a.' else 'b.' end,o_orderkey%9,') faixa ') as descricao
         from orders""",

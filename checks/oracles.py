@@ -274,15 +274,15 @@ _add(
 )
 _add(
     "fund_kpis",
-    """select cast(sum(v) filter (substr(d,1,2)='a.' and substr(d,3,1) between '1' and '7') as decimal(28,2))
+    """select cast(sum(v) filter (substr(d,1,2)='a.' and substr(d,3,1) between '1' and '7') as decimal(38,8))
                   as soma_inadimplentes_ate_360_dias,
-              cast(sum(v) filter (substr(d,1,2)='b.' and substr(d,3,1) between '1' and '7') as decimal(28,2))
+              cast(sum(v) filter (substr(d,1,2)='b.' and substr(d,3,1) between '1' and '7') as decimal(38,8))
                   as soma_pagos_antecipadamente_ate_360_dias,
-              cast(sum(v) filter (substr(d,3,1) between '1' and '7') as decimal(28,2)) as soma_total
+              cast(sum(v) filter (substr(d,3,1) between '1' and '7') as decimal(38,8)) as soma_total
        from valores""",
     {
         "valores": """select trim(descricao) as d, coalesce(try_cast(replace(replace(valor_str,'.',''),',','.')
-                      as decimal(18,2)),0) as v from fx_text_amount"""
+                      as decimal(28,8)),0) as v from fx_text_amount"""
     },
 )
 _add("load_replace", "select * replace (cast(vl_ajustado as decimal(38,8)) as vl_ajustado) from fx_plan")
@@ -318,20 +318,30 @@ _RECODED = """
     from fx_fact f left join codigos on left(nm_conta,7)=codigos.prefixo
     left join rotulos on left(nm_conta,7)=rotulos.prefixo and upper(nm_descnvl4)=descricao"""
 _EXECUTED = f"""
-    select 'PPA '||year(nm_data) as nm_ppa, nm_unidade, nm_projeto as nm_iniciativa, nm_acao, cdg_natorcamentonvl4,
-           nm_descnvl4, nm_cc, cast(year(nm_data) as integer) as vl_ano, cast(month(nm_data) as integer) as vl_mes,
+    select 'PPA '||year(nm_data) as nm_ppa, min(nm_unidade) as nm_unidade, min(nm_projeto) as nm_iniciativa,
+           min(nm_acao) as nm_acao, cdg_natorcamentonvl4, min(nm_descnvl4) as nm_descnvl4, min(nm_cc) as nm_cc, cast(year(nm_data) as integer) as vl_ano, cast(month(nm_data) as integer) as vl_mes,
            cast(sum(vl_valor) as decimal(28,2)) as vl_valor
     from recodificado where year(nm_data) in ({OLD},{NEW}) and month(nm_data)<={LAST_MONTH} and nm_descnvl1='DESPESAS'
-    group by all"""
-_K = ", ".join(KEYS)
+    group by year(nm_data), month(nm_data), cdg_natorcamentonvl4, upper(rtrim(nm_unidade)), upper(rtrim(nm_projeto)),
+             upper(rtrim(nm_acao)), upper(rtrim(nm_descnvl4)), upper(rtrim(nm_cc))"""
+_NAMED = ["nm_iniciativa", "nm_acao", "nm_unidade", "nm_cc", NATURE]
+
+
+def _same(key: str, alias: str = "") -> str:
+    return f"upper(rtrim({alias}{key}))" if key in _NAMED else alias + key
+
+
+_SHOWN_KEYS = ", ".join(f"min({k}) as {k}" for k in KEYS)
 _RECODE_CTES = {"codigos": _CODES, "rotulos": _LABELS, "recodificado": _RECODED}
-_ON_P = " and ".join(f"c.{k}=p.{k}" for k in MATCHED)
-_ON_E = " and ".join(f"c.{k}=e.{k}" for k in MATCHED)
+_ON_P = " and ".join(f"{_same(k, 'c.')}={_same(k, 'p.')}" for k in MATCHED)
+_ON_E = " and ".join(f"{_same(k, 'c.')}={_same(k, 'e.')}" for k in MATCHED)
+_K = ", ".join(KEYS)
 _REPORT = {
     **_RECODE_CTES,
     "executado": _EXECUTED,
     "planejado": _PLANNED,
-    "chaves": f"select {_K} from planejado union select {_K} from executado",
+    "chaves": f"""select {_SHOWN_KEYS} from (select {_K} from planejado union select {_K} from executado)
+        group by {", ".join(_same(k) for k in KEYS)}""",
     "relatorio": f"""
         select c.*, upper(coalesce(p.nm_natorcamentonvl4,e.nm_descnvl4)) as {NATURE},
                coalesce(p.vl_ajustado,0) as vl_ajustado, coalesce(e.vl_valor,0) as vl_valor
@@ -341,9 +351,10 @@ _REPORT = {
 
 def _totals(by: list[str]) -> str:
     present = " and ".join(f"{k} is not null" for k in by)
-    return f"""select {", ".join(by)}, cast(sum(vl_ajustado) as decimal(38,2)) as planejado,
+    shown = ", ".join(f"min({k}) as {k}" for k in by)
+    return f"""select {shown}, cast(sum(vl_ajustado) as decimal(38,2)) as planejado,
                       cast(sum(vl_valor) as decimal(38,2)) as executado
-               from relatorio where {present} group by {", ".join(by)}"""
+               from relatorio where {present} group by {", ".join(_same(k) for k in by)}"""
 
 
 _TOTALS = {
@@ -366,9 +377,8 @@ _add("plan_actual_nature", "select * from naturezas", _TOTALS)
 _add("plan_actual_project", "select * from projetos", _TOTALS)
 _add(
     "plan_actual_nested",
-    """select nm_unidade, cast(0 as integer) as parte, '{'||string_agg('"'||nm_iniciativa||'":{'||anos||'}', ',' order by nm_iniciativa)||'}' as iniciativas
-       from (select nm_unidade, nm_iniciativa, string_agg('"'||vl_ano||'":{"planejado":'||planejado||',"executado":'
-                    ||executado||'}', ',' order by vl_ano) as anos from projetos group by 1, 2) p group by 1""",
+    """select nm_unidade, nm_iniciativa, '{'||string_agg('"'||vl_ano||'":{"planejado":'||planejado||',"executado":'
+              ||executado||'}', ',' order by vl_ano)||'}' as anos from projetos group by 1, 2""",
     _TOTALS,
 )
 _add(
@@ -386,20 +396,21 @@ _add(
 
 
 def _side(name: str, condition: str) -> str:
-    return f"""select nm_unidade, cast(year(nm_data) as integer) as ano, sum(vl_valor) as {name} from fx_fact
-               where year(nm_data) in ({OLD},{NEW}) and month(nm_data)<={LAST_MONTH} and {condition} group by 1, 2"""
+    return f"""select min(nm_unidade) as nm_unidade, upper(rtrim(nm_unidade)) as u,
+                      cast(year(nm_data) as integer) as ano, sum(vl_valor) as {name} from fx_fact
+               where year(nm_data) in ({OLD},{NEW}) and month(nm_data)<={LAST_MONTH} and {condition} group by 2, 3"""
 
 
 _COVERAGE = {
     "despesas": _side("despesa", "nm_descnvl1 ilike 'desp%'"),
     "receitas": _side("receita", "nm_descnvl3 in ('REC A','REC B')"),
     "cobertura": """
-        select trim(coalesce(a.nm_unidade,b.nm_unidade)) as unidade, coalesce(a.ano,b.ano) as ano,
+        select trim(least(a.nm_unidade,b.nm_unidade)) as unidade, coalesce(a.ano,b.ano) as ano,
                cast(coalesce(despesa,0) as double) as despesa, cast(coalesce(receita,0) as double) as receita,
                cast(coalesce(receita,0)-coalesce(despesa,0) as double) as resultado_liquido,
                case when coalesce(despesa,0)>0
                     then cast(coalesce(receita,0) as double)/cast(despesa as double)*100 else 0 end as indice_cobertura
-        from despesas a full join receitas b on a.nm_unidade=b.nm_unidade and a.ano=b.ano""",
+        from despesas a full join receitas b on a.u=b.u and a.ano=b.ano""",
 }
 _add("coverage", "select * from cobertura", _COVERAGE)
 _add(
@@ -544,6 +555,8 @@ _add(
             f"""cast(coalesce(sum("{y}") filter (tipo_mov='{c}'),0) as bigint) as canal_{c.replace('.', '_')}"""
             for c in CHANNELS
         )
+        + f""", cast(coalesce(sum("{y}") filter (tipo_mov not in ({', '.join(repr(c) for c in CHANNELS)})),0) as bigint)
+              as canal_outros"""
         + " from contagem group by mes"
         for y in (OLD, NEW)
     ),

@@ -33,7 +33,7 @@ ENTITY = "Entidade"
 CUBE_ENTITY = "EUROPE"
 FIRST_CUBE, LAST_CUBE = 199603, 200010
 CORRECTIONS = {"middle east": "Oriente Médio"}
-CHANNELS = [f"2.1.{n}" for n in range(1, 6)]
+CHANNELS = [f"2.1.{n}" for n in range(1, 4)]
 RUN_AT = "2000-07-01 06:30:00"
 REVENUES = ["REC A", "REC B"]
 

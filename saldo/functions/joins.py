@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +12,6 @@ from saldo.session import ensure_checkpoint_dir
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 200_000
 ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS, TRACKED_KEYS = 64, 8192
 
 
 def _planned_bytes(df: DataFrame) -> int | None:
@@ -24,34 +22,25 @@ def _planned_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _estimate_is_loose(df: DataFrame) -> bool:
-    """Whether the plan joins or groups: a join counts as the product of its sides."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return True
-    text = plan.queryExecution().optimizedPlan().toString()
-    return re.search(r"^[\s:+-]*(Join|Aggregate|Generate)\b", text, re.MULTILINE) is not None
-
-
 def small_copy(
     df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame | None:
     """A table proven small enough to ship to every executor, else None.
 
-    The plan estimate decides without running anything, for a stored table
-    either way. The estimate of a derived table may be far too high, so such a
-    table is computed up to one row over the limit and kept as a checkpoint: if
-    it ends before the limit, the copy is the whole table and the join reads it
+    A plan estimate within the limit is proof enough. An estimate may be far too
+    high, so a table above it is computed up to one row over the row limit, kept
+    as a checkpoint and measured: if it ends before the limit and its rows as text
+    are within the byte limit, the copy is the whole table and the join reads it
     instead of computing it again.
     """
     planned = _planned_bytes(df)
     if planned is not None and planned <= max_bytes:
         return df
-    if planned is not None and not _estimate_is_loose(df):
-        return None
     ensure_checkpoint_dir(df.sparkSession)
     start = df.limit(max_rows + 1).checkpoint()
-    return start if start.count() <= max_rows else None
+    size = F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
+    held = start.agg(F.count(F.lit(1)).alias("rows"), size).first()
+    return start if held["rows"] <= max_rows and (held["bytes"] or 0) <= max_bytes else None
 
 
 def lookup_join(
@@ -67,26 +56,18 @@ def lookup_join(
     return left.join(right if small is None else F.broadcast(small), on, how)
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
-    """Keys that alone would overfill a task, with the number of slots to use; None if there are none.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """All keys with more rows than a task should hold, each with the number of slots to use.
 
-    One narrow scan feeds a frequent-items sketch, which cannot miss a key that
-    outweighs an average task. The few candidates are then counted exactly.
-    The sketch only decides where rows go, never which rows there are.
+    Every key is counted and the limit does not grow with the table, so there are
+    at most (rows / limit) such keys. Nothing runs until the join does.
     """
-    sketch = F.expr(f"approx_top_k(_key, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
-    keyed = df.select(F.xxhash64(*keys).alias("_key"))
-    seen = keyed.agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows")).first()
-    limit = max(rows_per_task, seen["rows"] // TRACKED_KEYS)
-    candidates = [entry["item"] for entry in seen["top"] or [] if entry["count"] >= limit]
-    if not candidates:
-        return None
-    counted = (
-        df.filter(F.xxhash64(*keys).isin(candidates))
-        .groupBy(*keys)
-        .agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("_slots"))
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > rows_per_task)
+        .select(*keys, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_slots"))
     )
-    return df.sparkSession.createDataFrame(counted.collect(), counted.schema)
 
 
 def skewed_left_join(
@@ -96,55 +77,52 @@ def skewed_left_join(
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
     max_bytes: int = BROADCAST_BYTES,
+    unique: bool = False,
 ) -> DataFrame:
     """Left join for two large tables whose hot keys may sit on either side.
 
     A right side under the broadcast limit is broadcast; keys do not matter then.
-    Hot keys of the left side are split by AQE. It cannot split the right side
-    of a left join, so keys that are hot there are joined apart: their right
-    rows are dealt into slots and their left rows copied once per slot. Every
-    such left row has a match, so an inner join is enough for them. All other
-    rows take the ordinary left join, and all of them do when no key is hot.
+    Hot keys of the left side are split by AQE. It cannot split the right side of
+    a left join, so the rows of a key that is hot there are dealt into slots and
+    the left rows of that key are copied once per slot. Copies that meet no row are
+    taken out again: every such key has rows, so one copy at least stays. With a
+    ``unique`` right key no key can be hot there and a plain left join is enough.
+
+    Slots follow the row's place in its input, so equal rows are divided too. The
+    right side should be a scan or another input whose order a repeated task keeps.
 
     ``keys`` maps left columns to right columns; the right columns must have
     names of their own, and all of them stay in the result.
     """
     theirs = list(keys.values())
 
-    def same(one: DataFrame, two: DataFrame, ours: list[str], safe: bool) -> Column:
-        pairs = zip(ours, theirs)
+    def same(one: DataFrame, two: DataFrame, ours: list[str], others: list[str], safe: bool) -> Column:
         return reduce(
             lambda x, y: x & y,
-            [one[a].eqNullSafe(two[b]) if safe else one[a] == two[b] for a, b in pairs],
+            [one[a].eqNullSafe(two[b]) if safe else one[a] == two[b] for a, b in zip(ours, others)],
         )
 
-    def joined(one: DataFrame, two: DataFrame) -> DataFrame:
-        return one.join(two, same(one, two, list(keys), null_safe), "left")
-
     planned = _planned_bytes(right)
     if planned is not None and planned <= max_bytes:
-        return joined(left, F.broadcast(right))
+        return left.join(F.broadcast(right), same(left, right, list(keys), theirs, null_safe), "left")
+    if unique:
+        return left.join(right, same(left, right, list(keys), theirs, null_safe), "left")
 
     present = right if null_safe else right.dropna(subset=theirs)
-    hot = hot_keys(present, theirs, rows_per_task)
-    if hot is None:
-        return joined(left, right)
-
-    def dealt(side: DataFrame, ours: list[str], slot: Column) -> DataFrame:
-        named = hot.withColumnsRenamed({k: f"_hot_{k}" for k in theirs})
-        match = [side[a].eqNullSafe(named[f"_hot_{b}"]) for a, b in zip(ours, theirs)]
-        kept = side.join(F.broadcast(named), reduce(lambda x, y: x & y, match))
-        return kept.withColumn("_slot", slot).drop("_slots", *[f"_hot_{k}" for k in theirs])
-
-    def others(side: DataFrame, ours: list[str]) -> DataFrame:
-        return side.join(F.broadcast(hot), same(side, hot, ours, True), "left_anti")
-
-    copies = dealt(left, list(keys), F.explode(F.sequence(F.lit(0), F.col("_slots") - 1)))
-    slot = F.pmod(F.xxhash64(*right.columns), F.col("_slots")).cast("int")
-    pieces = dealt(right, theirs, slot).withColumnRenamed("_slot", "_right_slot")
-    on = same(copies, pieces, list(keys), True) & (copies["_slot"] == pieces["_right_slot"])
-    matched = copies.join(pieces, on).drop("_slot", "_right_slot")
-    return joined(others(left, list(keys)), others(right, theirs)).unionByName(matched)
+    names = [f"_hot_{k}" for k in theirs]
+    hot = hot_keys(present, theirs, rows_per_task).withColumnsRenamed(dict(zip(theirs, names)))
+
+    def with_slots(side: DataFrame, ours: list[str]) -> DataFrame:
+        found = side.join(hot, same(side, hot, ours, names, null_safe), "left").drop(*names)
+        return found.withColumn("_slots", F.coalesce("_slots", F.lit(1)))
+
+    placed = right.withColumn("_place", F.monotonically_increasing_id())
+    pieces = with_slots(placed, theirs).withColumn("_right_slot", F.pmod("_place", F.col("_slots")).cast("int"))
+    pieces = pieces.drop("_slots", "_place").withColumn("_met", F.lit(True))
+    copies = with_slots(left, list(keys)).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.col("_slots") - 1)))
+    on = same(copies, pieces, list(keys), theirs, null_safe) & (copies["_slot"] == pieces["_right_slot"])
+    joined = copies.join(pieces, on, "left").filter((F.col("_slots") == 1) | F.col("_met"))
+    return joined.drop("_slot", "_slots", "_right_slot", "_met")
 
 
 def spread_nulls(key: Column, *row: str) -> Column:

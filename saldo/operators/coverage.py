@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from saldo.functions.dates import in_years
 from saldo.functions.numbers import REPORT_MONEY
-from saldo.functions.text import folded_in
+from saldo.functions.text import fold_case, folded_in
 from saldo.operators.mappings import REVENUE_GROUPS
 
 
@@ -21,7 +21,8 @@ def coverage(
     """Expense, revenue, net result and coverage percent by unit and year.
 
     One scan and one shuffle: a row counts as expense, revenue, both or
-    neither. Rows without a unit keep expense and revenue apart, since a
+    neither. Units compare without case and trailing blanks and show their
+    smallest spelling. Rows without a unit keep expense and revenue apart, since a
     missing unit never equals another.
     """
     rows = fact.filter(in_years("nm_data", years, last_month))
@@ -36,7 +37,8 @@ def coverage(
     )
     apart = F.when(F.col("nm_unidade").isNull(), F.col("tipo"))
     zero = F.lit(0).cast(REPORT_MONEY)
-    sums = kinds.groupBy("nm_unidade", "ano", apart.alias("_tipo")).agg(
+    sums = kinds.groupBy(fold_case("nm_unidade").alias("_unidade"), "ano", apart.alias("_tipo")).agg(
+        F.min("nm_unidade").alias("nm_unidade"),
         F.coalesce(F.sum(F.when(F.col("tipo") == "D", F.col("valor"))), zero).alias("despesa"),
         F.coalesce(F.sum(F.when(F.col("tipo") == "R", F.col("valor"))), zero).alias("receita"),
     )

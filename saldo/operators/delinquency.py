@@ -26,6 +26,7 @@ from saldo.operators.mappings import (
 DATES = ["dt_datavencimento", "dt_databaixa", "dt_datacriacao"]
 AMOUNTS = ["vl_valororiginal", "vl_valorbaixado"]
 PERIOD = ["ano_venc", "mes_venc"]
+OTHER_CHANNELS = "outros"
 
 
 def delinq_base(receivables: DataFrame, years: list[int]) -> DataFrame:
@@ -115,13 +116,18 @@ def channel_matrix(
 ) -> DataFrame:
     """Year and month by channel, one column per channel, missing cells 0.
 
-    Without a list Spark looks the channels up and refuses more than
-    ``spark.sql.pivotMaxValues`` of them.
+    With a list of channels all others are summed in ``canal_outros``, which is
+    missing only when the list is. Without a list Spark looks the channels up and
+    refuses more than ``spark.sql.pivotMaxValues`` of them.
     """
     years = F.array(
         *[F.struct(F.lit(y).alias("ano"), F.col(f"`{y}`").alias("_valor")) for y in (old, new)]
     )
     long = table.select("mes", "tipo_mov", F.inline(years))
+    if channels is not None:
+        listed = F.coalesce(F.col("tipo_mov").isin(channels), F.lit(False))
+        long = long.withColumn("tipo_mov", F.when(listed, F.col("tipo_mov")).otherwise(F.lit(OTHER_CHANNELS)))
+        channels = [*channels, OTHER_CHANNELS]
     wide = long.groupBy("ano", "mes").pivot("tipo_mov", channels).agg(F.sum("_valor"))
     names = ["canal_" + re.sub(r"\W", "_", c) for c in wide.columns[2:]]
     return wide.toDF("ano", "mes", *names).fillna(0)
@@ -294,9 +300,11 @@ def delinq_audit(flags: DataFrame, old: int, new: int, n: int = 100) -> DataFram
         )
     )
     members = delinquent(flags).select("*", F.explode(lists).alias("lista"))
-    sizes = members.groupBy("lista").agg(F.count(F.lit(1)).alias("total"))
     rest = [c for c in AUDIT_NAMES if c != "vl_bruto"]
-    shown = first_rows(members, n, ["lista"], F.desc("vl_bruto"), F.asc("cdg_idlan"), *rest)
+    order = [F.desc("vl_bruto"), F.asc("cdg_idlan"), *rest]
+    narrow = members.select("lista", "cdg_idlan", *[c for c in AUDIT_NAMES if c != "cdg_idlan"])
+    shown = first_rows(narrow, n, ["lista"], *order)
+    sizes = members.groupBy("lista").agg(F.count(F.lit(1)).alias("total"))
     return (
         shown.join(F.broadcast(sizes), "lista")
         .select("lista", "posicao", "total", *AUDIT_NAMES)

@@ -18,11 +18,23 @@ KEYS = ["vl_ano", "vl_mes", "nm_iniciativa", "nm_acao", "nm_unidade", "nm_cc", "
 # keys that differ in nothing else repeat each other's amounts.
 MATCHED = ["vl_ano", "vl_mes", "nm_iniciativa", "nm_cc", "cdg_natorcamentonvl4"]
 NATURE = "descricao_natureza_orcamentaria"
-DOCUMENT_ENTRIES = 50_000
 
 BY_MONTH = ["nm_unidade", "vl_ano", "vl_mes"]
 BY_NATURE = ["nm_unidade", "vl_ano", NATURE]
 BY_PROJECT = ["nm_unidade", "nm_iniciativa", "vl_ano"]
+# Names compare without case and trailing blanks; the smallest spelling is shown.
+NAMES = ["nm_iniciativa", "nm_acao", "nm_unidade", "nm_cc", "nm_descnvl4", NATURE]
+
+
+def _compared(key: str, mark: str = "_por_") -> Column:
+    """The form in which a key is compared, under a name of its own."""
+    return (fold_case(key) if key in NAMES else F.col(key)).alias(mark + key)
+
+
+def _grouped(df: DataFrame, keys: list[str], *values: Column) -> DataFrame:
+    """Groups by the compared form of the keys, each shown in its smallest spelling; forms stay as ``_por_*``."""
+    shown = [F.min(k).alias(k) for k in keys]
+    return df.groupBy(*[_compared(k) for k in keys]).agg(*shown, *values)
 
 
 def recode_account(fact: DataFrame, recodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -78,23 +90,23 @@ def executed_fact(
         "vl_valor",
     )
     keys = [c for c in rows.columns if c != "vl_valor"]
-    return rows.groupBy(*keys).agg(F.sum("vl_valor").alias("vl_valor"))
+    summed = _grouped(rows, keys, F.sum("vl_valor").alias("vl_valor"))
+    return summed.select(*keys, "vl_valor")
+
+
+def _key_rows(planned: DataFrame, executed: DataFrame) -> DataFrame:
+    return _grouped(planned.select(*KEYS).union(executed.select(*KEYS)), KEYS)
 
 
 def plan_actual_keys(planned: DataFrame, executed: DataFrame) -> DataFrame:
-    """Distinct keys that occur on either side."""
-    return planned.select(*KEYS).union(executed.select(*KEYS)).distinct()
+    """Distinct keys that occur on either side; names that differ in case only are one key."""
+    return _key_rows(planned, executed).select(*KEYS)
 
 
 def _matching(strict: bool) -> list[str]:
     return KEYS if strict else MATCHED
 
 
-def _prefixed(df: DataFrame, keys: list[str], mark: str) -> tuple[DataFrame, dict[str, str]]:
-    names = {k: f"{mark}_{k}" for k in keys}
-    return df.withColumnsRenamed(names), names
-
-
 def _zero_if_null(df: DataFrame, column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(0).cast(df.schema[column].dataType))
 
@@ -107,12 +119,13 @@ def plan_actual(planned: DataFrame, executed: DataFrame, strict: bool = False) -
     seven keys.
     """
     on = _matching(strict)
-    keys = plan_actual_keys(planned, executed)
-    budget, budget_on = _prefixed(
-        planned.select(*on, F.col("nm_natorcamentonvl4").alias("_plano"), "vl_ajustado"), on, "p"
+    keys = _key_rows(planned, executed)
+    marked = [f"_por_{k}" for k in on]
+    budget = planned.select(
+        *[_compared(k, "_p_") for k in on], F.col("nm_natorcamentonvl4").alias("_plano"), "vl_ajustado"
     )
-    actual = executed.select(*on, F.col("nm_descnvl4").alias("_real"), "vl_valor")
-    joined = skewed_left_join(keys, budget, budget_on).join(actual, on, "left")
+    actual = executed.select(*[_compared(k) for k in on], F.col("nm_descnvl4").alias("_real"), "vl_valor")
+    joined = skewed_left_join(keys, budget, {f"_por_{k}": f"_p_{k}" for k in on}).join(actual, marked, "left")
     return joined.select(
         *KEYS,
         F.upper(F.coalesce("_plano", "_real")).alias(NATURE),
@@ -129,13 +142,14 @@ def plan_actual_lines(planned: DataFrame, executed: DataFrame, strict: bool = Fa
     """
     on = _matching(strict)
     scale = planned.schema["vl_ajustado"].dataType.scale
-    budget = planned.groupBy(*on, F.col("nm_natorcamentonvl4").alias("_plano")).agg(
+    marked = [f"_por_{k}" for k in on]
+    budget = planned.groupBy(*[_compared(k) for k in on], F.col("nm_natorcamentonvl4").alias("_plano")).agg(
         F.sum("vl_ajustado").alias("_planejado"), F.count(F.lit(1)).alias("_planos")
     )
-    actual = executed.groupBy(*on, F.col("nm_descnvl4").alias("_real")).agg(
+    actual = executed.groupBy(*[_compared(k) for k in on], F.col("nm_descnvl4").alias("_real")).agg(
         F.sum("vl_valor").alias("_executado"), F.count(F.lit(1)).alias("_reais")
     )
-    rows = plan_actual_keys(planned, executed).join(budget, on, "left").join(actual, on, "left")
+    rows = _key_rows(planned, executed).join(budget, marked, "left").join(actual, marked, "left")
     zero, one = F.lit(0).cast(f"decimal(38,{scale})"), F.lit(1)
     planned_sum = times_count(F.coalesce("_planejado", zero), F.coalesce("_reais", one), scale)
     actual_sum = times_count(F.coalesce("_executado", zero), F.coalesce("_planos", one), scale)
@@ -150,34 +164,16 @@ def plan_actual_lines(planned: DataFrame, executed: DataFrame, strict: bool = Fa
 def totals(lines: DataFrame, by: list[str]) -> DataFrame:
     """``planejado`` and ``executado`` summed by ``by``, without groups that have a NULL key."""
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
-    return (
-        lines.filter(present)
-        .groupBy(*by)
-        .agg(F.sum("planejado").alias("planejado"), F.sum("executado").alias("executado"))
-    )
+    sums = [F.sum(c).alias(c) for c in ("planejado", "executado")]
+    return _grouped(lines.filter(present), by, *sums).select(*by, "planejado", "executado")
 
 
-def plan_actual_nested(project_totals: DataFrame, entries: int = DOCUMENT_ENTRIES) -> DataFrame:
-    """Per unit, JSON initiative -> year -> planned and executed.
+def plan_actual_nested(project_totals: DataFrame) -> DataFrame:
+    """Per unit and initiative, JSON year -> planned and executed, from project totals.
 
-    Works on project totals. A unit is one document (``parte`` 0) up to about
-    ``entries`` initiatives; a larger one is dealt into several, so that no
-    document grows without bound.
+    One row is one initiative at every size, so a document grows with the years only.
     """
     amounts = F.struct("planejado", "executado")
     year = F.struct(F.col("vl_ano").cast("string").alias("k"), amounts.alias("v"))
-    per_project = project_totals.groupBy("nm_unidade", "nm_iniciativa").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(year))).alias("anos")
-    )
-    sizes = project_totals.groupBy("nm_unidade").agg(
-        F.ceil(F.count(F.lit(1)) / (2 * entries)).alias("_partes")
-    )
-    part = F.pmod(F.xxhash64("nm_iniciativa"), F.col("_partes")).cast("int")
-    dealt = per_project.join(sizes, "nm_unidade").withColumn("parte", part)
-    projects = F.collect_list(F.struct(F.col("nm_iniciativa").alias("k"), F.col("anos").alias("v")))
-    ordered = F.array_sort(
-        projects, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
-    )
-    return dealt.groupBy("nm_unidade", "parte").agg(
-        F.to_json(F.map_from_entries(ordered)).alias("iniciativas")
-    )
+    by_year = F.map_from_entries(F.array_sort(F.collect_list(year)))
+    return project_totals.groupBy("nm_unidade", "nm_iniciativa").agg(F.to_json(by_year).alias("anos"))

@@ -58,7 +58,7 @@ def with_movement(instalments: DataFrame, movements: DataFrame) -> DataFrame:
     """Left join on the movement id; the 30 output columns."""
     side = movements.select(F.col("idmov").alias("_idmov"), "valorbrutoorig", "codtmv")
     base = instalments.select(*INSTALMENT_COLUMNS).withColumnsRenamed(RENAMED)
-    return skewed_left_join(base, side, {"idmov": "_idmov"}).drop("_idmov")
+    return skewed_left_join(base, side, {"idmov": "_idmov"}, unique=True).drop("_idmov")
 
 
 def receivables(

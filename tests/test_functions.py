@@ -91,25 +91,35 @@ def test_skewed_left_join_with_null_as_the_hot_key(spark):
     assert joins.skewed_left_join(left, right, {"k": "rk"}, False, rows_per_task=100, max_bytes=0).count() == 2
 
 
-def test_no_hot_key_means_one_plain_join(spark):
+def test_all_hot_keys_are_split_and_equal_rows_divided(spark):
+    left = spark.range(200).select(F.col("id").cast("int").alias("k"))
+    right = spark.range(200 * 500).select((F.col("id") % 200).cast("int").alias("rk"), F.lit("same").alias("r"))
+    assert joins.hot_keys(right, ["rk"], 100).filter("_slots = 5").count() == 200
+    joined = joins.skewed_left_join(left, right, {"k": "rk"}, rows_per_task=100, max_bytes=0)
+    assert joined.count() == 200 * 500 and joined.columns == ["k", "rk", "r"]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_right_slot" in plan
+
+
+def test_unique_right_side_means_one_plain_join(spark):
     left, right = _sides(spark)
-    plan = joins.skewed_left_join(left, right, {"k": "rk"}, max_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in plan
+    plan = joins.skewed_left_join(left, right, {"k": "rk"}, max_bytes=0, unique=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate" not in plan
 
 
 def test_small_copy_bounds_what_is_broadcast(spark):
     wide = spark.range(1000).join(spark.range(1000).withColumnRenamed("id", "b"), F.col("id") == F.col("b"))
-    assert joins.small_copy(wide, max_bytes=10, max_rows=999) is None
-    kept = joins.small_copy(wide, max_bytes=10, max_rows=1000)
+    assert joins.small_copy(wide, max_bytes=100_000, max_rows=999) is None
+    assert joins.small_copy(wide, max_bytes=100, max_rows=1000) is None
+    kept = joins.small_copy(wide, max_bytes=100_000, max_rows=1000)
     assert kept.count() == 1000
 
 
-def test_stored_tables_are_judged_by_their_size_alone(spark, tmp_path):
+def test_estimate_within_the_limit_is_enough(spark, tmp_path):
     spark.range(1000).write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
     assert joins.small_copy(stored, max_bytes=10) is None
     assert joins.small_copy(stored) is stored
-    assert joins.small_copy(stored.distinct(), max_bytes=10).count() == 1000
 
 
 def test_lookup_join_without_broadcast_gives_the_same_rows(spark, monkeypatch):

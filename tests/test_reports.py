@@ -1,5 +1,4 @@
 import datetime as dt
-import json
 from decimal import Decimal
 
 import pytest
@@ -191,19 +190,25 @@ def test_nested_document(spark):
         [("U", "b", 2026, Decimal(1), Decimal(2)), ("U", "a", 2026, Decimal(3), Decimal(4)), ("U", "a", 2025, Decimal(5), Decimal(6))],
         "nm_unidade string, nm_iniciativa string, vl_ano int, planejado decimal(10,0), executado decimal(10,0)",
     )
-    row = planactual.plan_actual_nested(totals).first()
-    assert row.parte == 0 and row.iniciativas == (
-        '{"a":{"2025":{"planejado":5,"executado":6},"2026":{"planejado":3,"executado":4}},'
-        '"b":{"2026":{"planejado":1,"executado":2}}}'
-    )
+    found = {r.nm_iniciativa: r.anos for r in planactual.plan_actual_nested(totals).collect()}
+    assert found == {
+        "a": '{"2025":{"planejado":5,"executado":6},"2026":{"planejado":3,"executado":4}}',
+        "b": '{"2026":{"planejado":1,"executado":2}}',
+    }
 
 
-def test_large_units_become_several_documents(spark):
-    totals = spark.range(300).select(
-        F.lit("U").alias("nm_unidade"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("nm_iniciativa"),
-        F.lit(2026).alias("vl_ano"), F.col("id").alias("planejado"), F.lit(1).alias("executado"),
+def test_names_that_differ_in_case_are_one_key(spark):
+    planned = spark.createDataFrame(
+        [(2026, 1, "Obra", "A", "Sul", "1", "31", "n", Decimal(5))],
+        "vl_ano int, vl_mes int, nm_iniciativa string, nm_acao string, nm_unidade string, nm_cc string, "
+        "cdg_natorcamentonvl4 string, nm_natorcamentonvl4 string, vl_ajustado decimal(18,2)",
+    )
+    executed = spark.createDataFrame(
+        [(2026, 1, "OBRA ", "a", "SUL", "1", "31", "n", Decimal(7))],
+        "vl_ano int, vl_mes int, nm_iniciativa string, nm_acao string, nm_unidade string, nm_cc string, "
+        "cdg_natorcamentonvl4 string, nm_descnvl4 string, vl_valor decimal(18,2)",
     )
-    parts = planactual.plan_actual_nested(totals, entries=10).collect()
-    found = [name for r in parts for name in json.loads(r.iniciativas)]
-    assert len(parts) > 10 and len(found) == len(set(found)) == 300
-    assert max(len(json.loads(r.iniciativas)) for r in parts) < 60
+    rows = planactual.plan_actual(planned, executed).collect()
+    assert [(r.nm_unidade, r.vl_ajustado, r.vl_valor) for r in rows] == [("SUL", Decimal(5), Decimal(7))]
+    lines = planactual.plan_actual_lines(planned, executed)
+    assert [(r.planejado, r.executado) for r in planactual.totals(lines, planactual.BY_MONTH).collect()] == [(5, 7)]

@@ -239,3 +239,23 @@ def test_reference_list_keeps_leading_zeros(spark, tmp_path):
     (tmp_path / "anos.csv").write_text("cc,ano\n00160.000002.018,2025\n")
     row = relational.read_list(spark, str(tmp_path / "anos.csv"), "cc string, ano string").first()
     assert tuple(row) == ("00160.000002.018", "2025")
+
+
+def test_statistics_of_ids_near_the_limit_of_their_type(spark, tmp_path):
+    big = spark.range(4).select((F.lit(9_000_000_000_000_000_000) + F.col("id")).alias("cdg_id"))
+    row = quality.numeric_stats(big).first()
+    assert row.soma_total == pytest.approx(3.6e19) and row.maximo == pytest.approx(9e18)
+    metrics = tables.store_with_metrics(big, "ids grandes")
+    assert metrics["total_linhas"] == 4 == tables.read_back(spark, "ids grandes").count()
+
+
+def test_a_count_that_differs_from_the_stored_rows_fails(spark, monkeypatch):
+    monkeypatch.setattr(tables, "metric_columns", lambda df: [F.lit(7).alias("x"), F.max(F.lit(2)).alias("total_linhas")])
+    with pytest.raises(RuntimeError, match="stored but"):
+        tables.store_with_metrics(spark.range(5), "contagem errada")
+
+
+def test_fund_amounts_keep_all_places(spark):
+    rows = spark.createDataFrame([("a.1) x", "0.004")] * 3 + [("b.2) y", "12345678901234567890.5")], "nm_descricao string, v string")
+    got = quality.fund_kpis(rows.withColumn("vl_valor", F.col("v").cast("decimal(38,8)"))).first()
+    assert str(got[0]) == "0.01200000" and str(got[1]) == "12345678901234567890.50000000"
