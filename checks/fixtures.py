@@ -94,7 +94,11 @@ VIEWS = {
                case when l_linenumber%4=0 then lower(r_name) else r_name end as nm_projeto,
                n_name as nm_acao, concat('N4 ',left({_PART},7)) as nm_descnvl4,
                case when l_partkey%4 in (0,2) then 'DESPESAS' else 'Receitas' end as nm_descnvl1,
-               case when l_partkey%4=1 then 'REC A' when l_partkey%4=3 then 'REC B' else 'OUTROS' end as nm_descnvl3
+               case when l_partkey%4=1 then 'REC A' when l_partkey%4=3 then 'REC B' else 'OUTROS' end as nm_descnvl3,
+               concat('2.1.',l_linenumber) as cdg_codtmv, concat('C',l_orderkey%50) as cdg_contrato,
+               case when l_suppkey%9<>0 then concat('F',l_suppkey%40) end as nm_fornecedor,
+               concat('N6 ',left({_PART},9)) as nm_descnvl6, concat('N5 ',left({_PART},8)) as nm_descnvl5,
+               concat('N2 ',left({_PART},3)) as nm_descnvl2
         from lineitem join fx_cc_key on l_suppkey=s_suppkey""",
     "fx_plan": f"""
         select concat('PPA ',year(l_shipdate)) as nm_ppa, s_name as nm_unidade, r_name as nm_iniciativa,

@@ -43,6 +43,16 @@ _DOCS = """
     select cast(p_size as varchar) as fundo, lpad(cast(p_partkey%12+1 as varchar),2,'0')||'/2000' as data_referencia,
            max(p_partkey) as id from part where p_partkey%2=0 group by 1, 2"""
 _add("fund_doc_select", "select * from docs", {"docs": _DOCS})
+_PAIR = "cast(p_size as varchar), lpad(cast(p_partkey%12+1 as varchar),2,'0')||'/2000'"
+_add(
+    "fund_doc_wanted",
+    " union all ".join(
+        f"""select *, '{name}' as lista from docs
+            where (fundo, data_referencia) in (select ({_PAIR}) from part where p_partkey%{step}=0)"""
+        for name, step in (("opcional", 6), ("exigido", 10))
+    ),
+    {"docs": _DOCS},
+)
 _add(
     "fund_table_extract",
     """select fundo, data_referencia, id, cast(1 as integer) as linha, 'a.1) '||p_name||' & outros' as descricao,
@@ -172,6 +182,12 @@ _add(
     {**_LEGS, "centros": _CENTERS, "categorias": _CATEGORIES, "hierarquia": _HIERARCHY},
 )
 
+_add(
+    "concat_key",
+    "select cc, upper(coalesce(projeto,'')||coalesce(acao,'')||coalesce(unidade,'')) as chave_concat from centros",
+    {"centros": _CENTERS},
+)
+
 # --- budget ------------------------------------------------------------------
 
 _MAP = {
@@ -420,6 +436,7 @@ _add(
               case when detalhes_json like '{"kpis%' then detalhes_json else '{}' end as detalhes from fx_audit""",
 )
 _MONTHS = " ".join(f"when {n} then '{t}'" for n, t in mappings.MONTH_NAMES.items())
+_add("units", "select distinct nm_unidade from mensal", _TOTALS)
 _add(
     "unit_month_series",
     f"""select nm_unidade, vl_ano, vl_mes, case vl_mes {_MONTHS} end as nome,
@@ -683,7 +700,7 @@ _add(
 _JOIN = f"""
     select p.nm_cc, p.vl_ano, p.cdg_natorcamentonvl4, p.nm_natorcamentonvl4, p.vl_mes, p.vl_ajustado, f.ano_fatos,
            f.nm_conta, f.vl_valor, f.nm_data, f.nm_projeto, f.nm_acao, f.nm_unidade, f.nm_descnvl4, f.nm_descnvl3,
-           f.nm_descnvl1
+           f.nm_descnvl1, f.cdg_codtmv, f.cdg_contrato, f.nm_fornecedor, f.nm_descnvl6, f.nm_descnvl5, f.nm_descnvl2
     from fx_plan p left join
          (select *, cast(year(nm_data) as integer) as ano_fatos from fx_fact where year(nm_data) in ({OLD},{NEW})) f
          on p.nm_cc is not distinct from f.nm_cc and p.vl_ano=f.ano_fatos"""

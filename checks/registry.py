@@ -96,6 +96,18 @@ def fund_doc_select(spark, sf):
     return funds.select_fund_documents(_documents(spark, sf))
 
 
+@_query
+def fund_doc_wanted(spark, sf):
+    found = _documents(spark, sf)
+    wanted = found.filter((F.col("id") % 6 == 0)).select("fundo", "data_referencia")
+    wanted = wanted.unionByName(wanted.limit(1).select(F.lit("nenhum").alias("fundo"), "data_referencia"))
+    required = found.filter(F.col("id") % 10 == 0).select("fundo", "data_referencia")
+    optional = funds.select_fund_documents(found, wanted).withColumn("lista", F.lit("opcional"))
+    return optional.unionByName(
+        funds.select_fund_documents(found, required, required=True).withColumn("lista", F.lit("exigido"))
+    )
+
+
 @_query
 def fund_table_extract(spark, sf):
     return funds.fund_table_extract(_documents(spark, sf))
@@ -141,6 +153,11 @@ def cost_center_hierarchy(spark, sf):
     return hierarchy.cost_center_hierarchy(view(spark, sf, "fx_cost_center"))
 
 
+@_query
+def concat_key(spark, sf):
+    return hierarchy.concat_key(hierarchy.cost_center_hierarchy(view(spark, sf, "fx_cost_center"))).select("cc", "chave_concat")
+
+
 def _pinned(spark, sf, name):
     """A reference view computed once, as a deployment would have it stored."""
     ensure_checkpoint_dir(spark)
@@ -459,6 +476,11 @@ def telemetry(spark, sf):
     return coverage.telemetry(view(spark, sf, "fx_audit"))
 
 
+@_query
+def units(spark, sf):
+    return dashboard.units(_totals(spark, sf, planactual.BY_MONTH))
+
+
 @_query
 def unit_month_series(spark, sf):
     return dashboard.unit_month_series(_totals(spark, sf, planactual.BY_MONTH), [OLD, NEW])

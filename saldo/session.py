@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+TABLES_SETTING = "spark.saldo.tables.dir"
 
 
 def build_session(master: str | None = None, app: str = "saldo", **settings: str) -> SparkSession:
@@ -23,6 +24,7 @@ def build_session(master: str | None = None, app: str = "saldo", **settings: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     builder = SparkSession.builder.appName(app)
     if master:
@@ -60,3 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so never overwritten."""
     return f"{shared_dir(spark)}/{name}/run={uuid.uuid4().hex}"
+
+
+def tables_dir(spark: SparkSession) -> str:
+    """The folder of stored result tables, apart from checkpoints and kept by nobody else.
+
+    ``spark.saldo.tables.dir`` if set, else the session's warehouse. Only a local
+    session without the setting gets a folder of its own.
+    """
+    chosen = spark.conf.get(TABLES_SETTING, None)
+    master = spark.sparkContext.master
+    if chosen is None and (master == "local" or master.startswith("local[")):
+        chosen = tempfile.mkdtemp(prefix="saldo-tables-")
+        spark.conf.set(TABLES_SETTING, chosen)
+    return (chosen or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 from decimal import Decimal
 
 import pytest
@@ -8,9 +11,11 @@ from pyspark.sql import functions as F
 
 from saldo.operators import quality, standardize
 from saldo.plans.refresh import refresh_all, standardized
-from saldo.session import work_path
+from saldo.session import tables_dir, work_path
 from saldo.sources import relational, tables
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.mark.parametrize(
     "source, expected",
@@ -168,7 +173,7 @@ def test_refresh_stores_audits_and_survives_failures(spark):
         "soma_total": 4051.0, "media": 2025.5, "maximo": 2026.0, "minimo": 2025.0,
     }
     assert refresh_all({"seca": lambda: rows}, "2026-01-02 03:04:05", trail, load=False) == {}
-    assert not spark.catalog.tableExists("fin_seca")
+    assert tables.read_back(spark, "seca").columns == []
 
 
 def test_fund_refresh_audits_its_indicators(spark):
@@ -188,12 +193,32 @@ def test_null_cells_of_a_wide_table(spark):
     assert quality.quality_metrics(wide).first()["total_nulos"] == 400
 
 
-def test_unreadable_table_is_empty(spark):
-    name = tables.load_replace(spark.range(2), "some ida")
-    spark.sql(f"create or replace view {name}_x as select 1 as a")
-    spark.sql(f"create or replace view {name} as select * from {name}_x")
-    spark.sql(f"drop view {name}_x")
+def test_unfinished_versions_are_not_read(spark):
+    assert tables.read_back(spark, "some ida").columns == []
+    spark.range(2).write.parquet(tables.new_version(spark, "some ida"))
     assert tables.read_back(spark, "some ida").columns == []
+    tables.load_replace(spark.range(3), "some ida")
+    spark.range(9).write.parquet(tables.new_version(spark, "some ida"))
+    assert tables.read_back(spark, "some ida").count() == 3
+
+
+def test_old_versions_go_when_asked(spark):
+    for n in (1, 2, 3):
+        tables.load_replace(spark.range(n), "muitas versoes")
+    assert len(tables.retain(spark, "muitas versoes", keep=1)) == 2
+    assert tables.read_back(spark, "muitas versoes").count() == 3
+    assert tables.retain(spark, "muitas versoes", keep=1) == []
+
+
+def test_stored_tables_outlive_the_session(spark):
+    tables.load_replace(spark.range(5), "duradoura")
+    code = (
+        "from saldo.session import build_session\nfrom saldo.sources import tables\n"
+        f"s = build_session('local[1]', **{{'spark.saldo.tables.dir': {tables_dir(spark)!r}, 'spark.ui.enabled': 'false'}})\n"
+        "print('ROWS', tables.read_back(s, 'duradoura').count(), tables.read_through(s, 'duradoura', lambda: 1 / 0).count())"
+    )
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=180, cwd=ROOT)
+    assert "ROWS 5 5" in done.stdout, done.stderr[-2000:]
 
 
 def test_standardized_leaves_out_empty_and_broken(spark):
