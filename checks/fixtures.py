@@ -110,6 +110,10 @@ VIEWS = {
     "fx_cube": """
         select nm_ppa, nm_iniciativa as entidade, nm_unidade, nm_iniciativa, nm_acao,
                cdg_natorcamentonvl4, nm_natorcamentonvl4, vl_ano, vl_mes, vl_ajustado,
+               cast(vl_ajustado*2 as decimal(18,2)) as m_executado, cast(vl_ajustado-vl_mes as decimal(18,2)) as m_entidades,
+               cast(vl_ajustado*3 as decimal(18,2)) as m_receita, cast(vl_ajustado+1 as decimal(18,2)) as m_cenario,
+               cast(vl_ajustado*5 as decimal(18,2)) as m_contabil, cast(vl_ajustado-1 as decimal(18,2)) as m_foto_despesa,
+               cast(vl_ajustado+vl_mes as decimal(18,2)) as m_foto_receita,
                vl_ano*100+vl_mes as fotografia, nm_unidade as nm_unidadeacao,
                nm_unidade as nm_unidadeiniciativa, nm_cc as cdg_rm, cdg_natorcamentonvl4 as nm_cdgnatureza,
                nm_natorcamentonvl4 as nm_descnvl4, vl_mes as nm_mes, vl_ano as nm_ano,

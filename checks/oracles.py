@@ -87,13 +87,19 @@ _CUBES = {
         "fotografia, nm_iniciativa, nm_unidadeiniciativa, nm_cdgnatureza, nm_descnvl4", "vl_receitaexecutado", True,
     ),
 }
+# The column that each slice sums.
+_SUMMED = {
+    "cube_budget_expense": "vl_ajustado", "cube_executed_expense": "m_executado", "cube_executed_entities": "m_entidades",
+    "cube_revenue_initiative": "m_receita", "cube_revenue_scenario": "m_cenario", "cube_account_balance": "m_contabil",
+    "cube_expense_snapshot": "m_foto_despesa", "cube_revenue_snapshot": "m_foto_receita",
+}
 for _name, (_levels, _measure, _one) in _CUBES.items():
     _member = f"and entidade='{CUBE_ENTITY}'" if _one else ""
     _add(
         _name,
-        f"""select {_levels}, cast(sum(vl_ajustado) as decimal(28,2)) as {_measure} from fx_cube
+        f"""select {_levels}, cast(sum({_SUMMED[_name]}) as decimal(28,2)) as {_measure} from fx_cube
             where vl_ano*100+vl_mes between {FIRST_CUBE} and {LAST_CUBE} {_member}
-            group by {_levels} having sum(vl_ajustado) is not null""",
+            group by {_levels} having sum({_SUMMED[_name]}) is not null""",
     )
 
 # --- ledger ------------------------------------------------------------------
@@ -307,19 +313,39 @@ _add("read_through", "select ano, count(*) as centros from fx_year_map group by
 _add(
     "audit_append",
     f"""select 'orcado' as nome_processo, '{RUN_AT}' as data_execucao, count(*) as total_linhas,
-               cast(10 as integer) as total_colunas, count(*)-count(nm_cc) as total_nulos, count(*) as linhas_json
+               cast(10 as integer) as total_colunas, count(*)-count(nm_cc) as total_nulos, count(*) as linhas_json,
+               cast(sum(vl_ano) as double) as soma_anos, cast(null as double) as maximo_ids,
+               cast(null as double) as soma_faixas
         from fx_plan
-        union all select 'titulos', '{RUN_AT}', count(*), 3, 0, count(*) from fx_text_amount""",
+        union all select 'titulos', '{RUN_AT}', count(*), 3, 0, count(*), null, cast(max(id) as double),
+               cast(sum(v) filter (substr(trim(descricao),3,1) between '1' and '7') as double)
+        from (select *, coalesce(try_cast(replace(replace(valor_str,'.',''),',','.') as decimal(28,8)),0) as v
+              from fx_text_amount)""",
 )
-_add(
-    "refresh_dataset",
-    f"""select idlan as cdg_idlan, idmov as cdg_idmov, recibo as nm_recibo, descstatuslcto as nm_descstatuslcto,
+_STORED = f"""select idlan as cdg_idlan, idmov as cdg_idmov, recibo as nm_recibo, descstatuslcto as nm_descstatuslcto,
                datavencimento as dt_datavencimento, databaixa as dt_databaixa,
                cast(valororiginal as decimal(38,8)) as vl_valororiginal,
                cast(valorbaixado as decimal(38,8)) as vl_valorbaixado, cast(txcartao as decimal(38,8)) as vl_txcartao,
                cast(valorbrutoorig as decimal(38,8)) as vl_bruto, codtmv as cdg_codtmv, historico as nm_historico
-        from titulos where {_DUE} and {_KEPT_DEBTS}""",
-    {"titulos": _JOINED},
+        from titulos where {_DUE} and {_KEPT_DEBTS}"""
+_COUNTED = {
+    "fatofechamento": """select count(*) from pernas o join fx_allowlist l on o.conta=l.conta
+                         left join centros k on o.cc=k.cc
+                         left join hierarquia h on h.cdgcontanvl6=o.conta left join fx_national n on n.codconta=o.conta""",
+    "plancc": """select count(*) from linhas left join chaves on linhas.chave=chaves.chave
+                 where nm_iniciativa not ilike 'CANCELADO%'""",
+    "orcado": f"select count(*) from ({all_oracles()['cube_budget_expense']})",
+}
+_add(
+    "refresh_dataset",
+    "select 'inadim' as dataset, *, cast(null as bigint) as linhas from guardado"
+    + "".join(
+        f" union all by name select '{name}' as dataset, ({count}) as linhas" for name, count in _COUNTED.items()
+    ),
+    {
+        "titulos": _JOINED, "guardado": _STORED, **_MAP, **_LEGS,
+        "centros": _CENTERS, "categorias": _CATEGORIES, "hierarquia": _HIERARCHY,
+    },
 )
 
 # --- plan against actual -----------------------------------------------------

@@ -23,7 +23,7 @@ from saldo.operators import (
     standardize,
     study,
 )
-from saldo.plans import reports
+from saldo.plans import datasets, reports
 from saldo.plans.refresh import refresh_all, standardized
 from saldo.session import ensure_checkpoint_dir, work_path
 from saldo.sources import cubes, funds, relational, tables
@@ -113,22 +113,22 @@ def fund_table_extract(spark, sf):
     return funds.fund_table_extract(_documents(spark, sf))
 
 
-def _cube(name: str, slice_: cubes.Slice) -> None:
+def _cube(name: str, slice_: cubes.Slice, measure: str) -> None:
     def run(spark, sf):
         entity = CUBE_ENTITY if slice_.one_entity else None
-        return slice_.read(view(spark, sf, "fx_cube"), "vl_ajustado", entity, FIRST_CUBE, LAST_CUBE)
+        return slice_.read(view(spark, sf, "fx_cube"), measure, entity, FIRST_CUBE, LAST_CUBE)
 
     _registered[name] = run
 
 
-_cube("cube_budget_expense", cubes.BUDGET_EXPENSE)
-_cube("cube_executed_expense", cubes.EXECUTED_EXPENSE)
-_cube("cube_executed_entities", cubes.EXECUTED_ENTITIES)
-_cube("cube_revenue_initiative", cubes.REVENUE_INITIATIVE)
-_cube("cube_revenue_scenario", cubes.REVENUE_SCENARIO)
-_cube("cube_account_balance", cubes.ACCOUNT_BALANCE)
-_cube("cube_expense_snapshot", cubes.EXPENSE_SNAPSHOT)
-_cube("cube_revenue_snapshot", cubes.REVENUE_SNAPSHOT)
+_cube("cube_budget_expense", cubes.BUDGET_EXPENSE, "vl_ajustado")
+_cube("cube_executed_expense", cubes.EXECUTED_EXPENSE, "m_executado")
+_cube("cube_executed_entities", cubes.EXECUTED_ENTITIES, "m_entidades")
+_cube("cube_revenue_initiative", cubes.REVENUE_INITIATIVE, "m_receita")
+_cube("cube_revenue_scenario", cubes.REVENUE_SCENARIO, "m_cenario")
+_cube("cube_account_balance", cubes.ACCOUNT_BALANCE, "m_contabil")
+_cube("cube_expense_snapshot", cubes.EXPENSE_SNAPSHOT, "m_foto_despesa")
+_cube("cube_revenue_snapshot", cubes.REVENUE_SNAPSHOT, "m_foto_receita")
 
 # --- ledger ------------------------------------------------------------------
 
@@ -369,25 +369,50 @@ def audit_append(spark, sf):
     return rows.select(
         "nome_processo", F.date_format("data_execucao", "yyyy-MM-dd HH:mm:ss").alias("data_execucao"),
         "total_linhas", "total_colunas", "total_nulos", linhas.alias("linhas_json"),
+        *[
+            F.get_json_object("detalhes_json", path).cast("double").alias(name)
+            for name, path in (
+                ("soma_anos", "$.estatisticas_numericas.vl_ano.soma_total"),
+                ("maximo_ids", "$.estatisticas_numericas.id.maximo"),
+                ("soma_faixas", "$.kpis_gerais.soma_total"),
+            )
+        ],
     )
 
 
+SOURCES = {
+    "CCONTA": "fx_account", "CLANCA": "fx_journal", "CRATEIOLC": "fx_allocation", "TMOV": "fx_movement",
+    "FCFO": "fx_counterparty", "GCCUSTO": "fx_cost_center", "ORCADO": "fx_budget", "FLAN": "fx_instalment",
+    "CUBO": "fx_cube",
+}
+
+
 @_query
 def refresh_dataset(spark, sf):
-    def build():
-        return receivables.receivables(
-            view(spark, sf, "fx_instalment"), view(spark, sf, "fx_movement"), AS_OF, FIRST_DUE
-        )
-
-    ready = standardized({"inadim": build}, ["INADIM"])
-    refresh_all(
-        {name: build for name in ready}, RUN_AT, work_path(spark, "auditoria"),
-        cluster_by={"inadim": "dt_datavencimento"},
-    )
-    return tables.read_back(spark, "inadim").select(
+    def source(name):
+        return view(spark, sf, SOURCES[name])
+
+    years = view(spark, sf, "fx_year_map")
+    every = {
+        "fatofechamento": lambda: datasets.fatofechamento(
+            spark, source, ENTITY, view(spark, sf, "fx_allowlist"), OLD, view(spark, sf, "fx_national")
+        ),
+        "plancc": lambda: datasets.plancc(source, [years], CORRECTIONS),
+        "orcado": lambda: datasets.cube_dataset("orcado", source, "vl_ajustado", CUBE_ENTITY, first=FIRST_CUBE, last=LAST_CUBE),
+        "inadim": lambda: datasets.inadim(source, AS_OF, FIRST_DUE),
+    }
+    ready = standardized(every, ["INADIM"])
+    refresh_all(every, RUN_AT, work_path(spark, "auditoria"), cluster_by={name: "dt_datavencimento" for name in ready})
+    stored = tables.read_back(spark, "inadim").select(
+        F.lit("inadim").alias("dataset"),
         "cdg_idlan", "cdg_idmov", "nm_recibo", "nm_descstatuslcto", "dt_datavencimento", "dt_databaixa",
         "vl_valororiginal", "vl_valorbaixado", "vl_txcartao", "vl_bruto", "cdg_codtmv", "nm_historico",
+        F.lit(None).cast("bigint").alias("linhas"),
     )
+    for name in ("fatofechamento", "plancc", "orcado"):
+        count = tables.read_back(spark, name).agg(F.count(F.lit(1)).alias("linhas"))
+        stored = stored.unionByName(count.withColumn("dataset", F.lit(name)), allowMissingColumns=True)
+    return stored
 
 
 # --- plan against actual -----------------------------------------------------

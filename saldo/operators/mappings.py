@@ -3,7 +3,7 @@
 Everything in this module is plain data, stated as is. ``{entity}`` stands for
 the name of the organisation whose books are read; pass it to the functions at
 the end. Long lists (account allow-list, cost-centre years) are not here: they
-are tables of the deployment, read with ``saldo.sources.reference``.
+are tables of the deployment, read with ``saldo.sources.relational``.
 """
 
 from __future__ import annotations
