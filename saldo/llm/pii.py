@@ -64,7 +64,7 @@ PATTERN = (
     rf"(?=[0-9+(])(?:{_NUMERIC})"
     rf"|(?=[{''.join(sorted({c for w in SECRET_WORDS for c in (w[0], w[0].upper())}))}])"
     rf"(?:{_SECRET_HEAD}[A-Za-z0-9_+/\-]{{8,96}}={{0,2}}|AKIA[0-9A-Z]{{16}}(?!\w))"
-    r"|(?=[A-Za-z0-9])(?<![._%+\-])[A-Za-z0-9._%+\-]{1,63}+@[A-Za-z0-9][A-Za-z0-9\-]{0,30}(?:\.[A-Za-z0-9\-]{2,24}){1,3}"
+    r"|(?=[\p{L}0-9])(?<![._%+\-])[\p{L}0-9._%+\-]{1,63}+@[A-Za-z0-9][A-Za-z0-9\-]{0,30}(?:\.[A-Za-z0-9\-]{2,24}){1,3}"
     r"|(?=[A-Z]{2}\d)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
     rf"|(?=\p{{Lu}}\p{{Ll}})(?:{_NAMES})\s{{1,2}}\p{{Lu}}\p{{L}}{{1,30}}(?!\p{{L}}))"
 )
@@ -163,8 +163,8 @@ def surrogate(form: Column, kind: Column, key: str, attempt: Column) -> Column:
             text,
             lambda c, i: F.when(hexadecimal, pick("0123456789abcdef", i))
             .when(c.rlike("[0-9]"), pick("0123456789", i))
-            .when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz", i))
-            .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i))
+            .when(c.rlike(r"\p{Ll}"), pick("abcdefghijklmnopqrstuvwxyz", i))
+            .when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i))
             .otherwise(c),
         )
 

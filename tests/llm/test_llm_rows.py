@@ -100,6 +100,8 @@ def test_surrogates(spark, odd, empty, clash):
     assert words[1].upper() == words[3] and words[5] == words[7].replace("-", "")
     assert sum(d if k % 2 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(map(int, words[5]))) % 10 == 0
     assert words[8] in pii.GIVEN["latin_f"] and words[10] in pii.GIVEN["cyrillic_m"]
+    accented = pii.replace_entities(spark.createDataFrame([(1, "x éçou.72@mail3.example.com.")], "doc_id long, text string"), "k").first()
+    assert accented.kinds == ["email"] and "é" not in accented.text_clean and accented.text_clean.endswith(".example.")
     assert got[3].text_clean == "card 4041894974608796, 300.1.1.1" and got[4].text_clean is None
     assert pii.replace_entities(docs, "other").filter("row.doc_id = 1").first().text_clean != got[1].text_clean
     assert pii.replace_entities(empty, "k").count() == 0
