@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from saldo.llm.textarrays import BASE, Words, chunks, mix
 
-STRIDE, SEEDS, SAMPLES, POSITIONS = 4, 4, 5, 5
+STRIDE, SEEDS, SAMPLES, POSITIONS = 4, 6, 5, 5
 LADDER = [1, 2, 3, 4, 6, 9, 13, 19, 28, 42, 64]
 MAX_EDITS, BLOCK_BYTES, CHUNK = 0.2, 8 * 1024 * 1024, 1_000_000
 
