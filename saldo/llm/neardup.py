@@ -12,10 +12,12 @@ work is one draw a shingle plus the points that the components need.
 
 Signatures are banded. Equal bags are one class from the start. Buckets of the
 bands never emit all their pairs: in each round a member is compared to one member
-of its bucket, first the smallest id, then others picked by hash, and every
+of its bucket, first the smallest id, then another picked by hash, and every
 comparison is an exact multiset overlap of the texts. Members of one bucket that
 are connected by then need no more comparisons. Those still apart are compared with
-all members of other components of their bucket, so no link is lost.
+all members of other components of their bucket that could be similar enough, so no
+link is lost; in large buckets these are the ones that share a shingle among the
+rarest of both, which rules out much edited copies in a large group of copies.
 
 Result: one row for each input row with the smallest id of its class.
 
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.llm.components import components
@@ -42,9 +44,11 @@ from saldo.session import ensure_checkpoint_dir, work_path
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 25, 5
 COMPONENTS = BANDS * ROWS
 #: Pairs whose signatures agree less are not compared in full; at a similarity of
-#: 0.8 the chance of that is below one in ten million.
-LEAST_ESTIMATE, SPREAD_ROUNDS = 0.58, 2
+#: 0.8 the chance of that is about one in 20,000, as that of sharing no band.
+LEAST_ESTIMATE, SPREAD_ROUNDS = 0.66, 1
 CHUNK = 1_000_000
+#: Members of a bucket that are compared directly; larger buckets meet over rare shingles.
+SMALL_BUCKET = 64
 _STEP, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -190,10 +194,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             picked = apart.groupBy("bucket").agg(draw).select("bucket", F.col("pick.id").alias("b"), F.col("pick.label").alias("other"))
             wanted = apart.join(picked, "bucket").filter(F.col("label") != F.col("other")).select(F.col("id").alias("a"), "b")
         else:
-            low = apart.groupBy("bucket").agg(F.min("label").alias("main"))
-            few = apart.join(low, "bucket").filter(F.col("label") != F.col("main"))
-            theirs = apart.select("bucket", F.col("id").alias("b"), F.col("label").alias("other"))
-            cross = few.join(theirs, "bucket").filter(F.col("label") != F.col("other")).select(F.col("id").alias("a"), "b")
+            cross = _open_pairs(apart, texts, reps, similarity)
             wanted = _likely(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), reps)
         fresh = compare(wanted.distinct(), texts, similarity).checkpoint()
         if not fresh.isEmpty():
@@ -210,6 +211,49 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(mixed, "bucket")
 
 
+def _open_pairs(apart: DataFrame, texts: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different components of a bucket that could be similar enough.
+
+    Members of a small bucket meet directly. In a large one two documents meet only
+    over a shared shingle among the rarest of both: if their similarity suffices,
+    the weight that a document does not share is at most (1 - similarity) of its size,
+    so the rarest shingle that they share lies within that weight of either's rarest;
+    what comes before it is not shared, which bounds the overlap once more.
+    """
+    sized = apart.join(reps.select(F.col("doc_id").alias("id"), "n"), "id")
+    crowd = apart.groupBy("bucket").agg(F.min("label").alias("main"), F.count(F.lit(1)).alias("k"))
+    known = sized.join(crowd, "bucket").checkpoint()
+    wide = known.filter(F.col("k") > SMALL_BUCKET).groupBy("id", "label", "n").agg(F.max(F.col("label") != F.col("main")).alias("few"))
+
+    def meet(few: DataFrame, all_: DataFrame, key: str) -> DataFrame:
+        theirs = all_.select(
+            F.col(key).alias("key2"), F.col("id").alias("b"), F.col("label").alias("label2"),
+            F.col("n").alias("n2"), F.col("before").alias("before2"),
+        )
+        shared = F.least(F.col("n") - F.col("before"), F.col("n2") - F.col("before2"))
+        near = shared >= (F.col("n") + F.col("n2") - shared) * similarity - 1e-6
+        on = (F.col(key) == F.col("key2")) & (F.col("label") != F.col("label2")) & near
+        return few.join(theirs, on).select(F.col("id").alias("a"), "b")
+
+    small = known.filter(F.col("k") <= SMALL_BUCKET).withColumn("before", F.lit(0))
+    direct = meet(small.filter(F.col("label") != F.col("main")), small, "bucket")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, b in chunks(batch["text"].tolist(), CHUNK):
+                keys, counts, doc = bags(batch["text"].iloc[a:b].tolist())
+                yield pd.DataFrame({"id": batch["id"].iloc[a:b].to_numpy()[doc], "key": keys.view(np.int64), "c": counts})
+
+    kind = dict(texts.dtypes)["id"]
+    source = texts.join(wide.select("id"), "id", "left_semi").select("id", "text")
+    rows = source.mapInPandas(run, f"id {kind}, key long, c long").checkpoint()
+    holders = rows.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    rarest = Window.partitionBy("id").orderBy("df", "key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(holders, "key").withColumn("before", F.coalesce(F.sum("c").over(rarest), F.lit(0)))
+    front = placed.join(wide, "id").filter(F.col("before") <= F.col("n") * (1 - similarity) + 1e-6).checkpoint()
+    return direct.unionByName(meet(front.filter("few"), front, "key")).distinct()
+
+
 def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs whose signatures agree in ``LEAST_ESTIMATE`` of the components or more."""
 
