@@ -118,26 +118,34 @@ def link(messages: DataFrame, thread: str, place: str, text: str) -> DataFrame:
 
 
 def roots(links: DataFrame) -> DataFrame:
-    """(thread, place, root_thread, root_place, depth) for messages with a parent, by pointer jumping."""
+    """(thread, place, root_thread, root_place, depth) for messages with a parent, by pointer jumping.
+
+    Messages that have reached their root leave; a round joins only the others.
+    """
     ensure_checkpoint_dir(links.sparkSession)
-    paths = links.select(
+    known = ["thread", "place", "up_thread", "up_place", "depth"]
+    going = links.select(
         "thread", "place", F.col("parent_thread").alias("up_thread"), F.col("parent_place").alias("up_place"), F.lit(1).alias("depth")
     ).checkpoint()
+    done = None
     while True:
-        above = paths.select(
+        every = going if done is None else going.unionByName(done)
+        above = every.select(
             F.col("thread").alias("up_thread"), F.col("place").alias("up_place"),
             F.col("up_thread").alias("next_thread"), F.col("up_place").alias("next_place"), F.col("depth").alias("more"),
         )
-        jumped = paths.join(above, ["up_thread", "up_place"], "left").select(
+        jumped = going.join(above, ["up_thread", "up_place"], "left").select(
             "thread", "place",
             F.coalesce("next_thread", "up_thread").alias("up_thread"),
             F.coalesce("next_place", "up_place").alias("up_place"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             F.col("more").isNotNull().alias("moved"),
         ).checkpoint()
-        paths = jumped.drop("moved")
-        if jumped.filter("moved").isEmpty():
-            return paths.select(
+        ended = jumped.filter(~F.col("moved")).select(*known)
+        done = ended if done is None else done.unionByName(ended)
+        going = jumped.filter("moved").select(*known)
+        if going.isEmpty():
+            return done.select(
                 "thread", "place", F.col("up_thread").alias("root_thread"), F.col("up_place").alias("root_place"), "depth"
             )
 
