@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from saldo.llm.textarrays import chunks
 
-MAX_PIECES, MAX_PAIRS = 1_000_000, 1_000_000
+MAX_PIECES, MAX_PAIRS, CHUNK = 400_000, 400_000, 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -226,7 +226,7 @@ def _rows(docs: DataFrame, codec: Codec, doc_id: str, text: str, schema: str, wo
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            for x, y in chunks(texts):
+            for x, y in chunks(texts, CHUNK):
                 done = [work(shared.value, t) for t in texts[x:y]]
                 out = {"doc_id": batch["doc_id"].iloc[x:y].reset_index(drop=True)}
                 for k, n in enumerate(names):
