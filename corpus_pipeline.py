@@ -42,8 +42,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut the boilerplate lines of each site; n_chars follows the text."""
-    cleaned = linededup.remove_boilerplate(docs)
+    """Cut the boilerplate lines of each site; n_chars follows the text.
+
+    Pages with nothing left are dropped: a page with the same lines stays whole.
+    """
+    cleaned = linededup.remove_boilerplate(docs, spare_copies=True)
+    cleaned = cleaned.filter((F.col("lines_dropped") == 0) | F.col("text_kept").rlike(r"[^\x20\x09-\x0D]"))
     same = [F.col(f"row.{c}").alias(c) for c in ("doc_id", "lang", "source")]
     return cleaned.select(*same, F.col("text_kept").alias("text"), F.length("text_kept").cast("long").alias("n_chars")).select(*COLUMNS)
 

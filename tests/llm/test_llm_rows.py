@@ -330,3 +330,20 @@ def test_whole_pipeline(spark):
     rows = out.collect()
     assert rows and all(len(r.ids) == r.n_tokens for r in rows)
     assert len({r.doc_id for r in rows}) == len(rows)
+
+
+def test_pipeline_keeps_one_document_of_many_copies(spark):
+    """A third of a source are exact copies of one text, near copies of another are as many; a menu is on every page."""
+    draw = random.Random(31)
+    exact, near = ([" ".join(f"{name}{draw.randrange(9999)}" for _ in range(12)) for _ in range(20)] for name in "en")
+    rows = [(k, "menu home about\n" + "\n".join(" ".join(f"w{draw.randrange(9999)}" for _ in range(12)) for _ in range(20))) for k in range(40)]
+    rows += [(100 + k, "menu home about\n" + "\n".join(exact)) for k in range(40)]
+    rows += [(200 + k, "\n".join(["menu home about", *near[: k % 20], f"edit {k} here", *near[k % 20 + 1 :]])) for k in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", "one", len(t)) for i, t in rows], SCHEMA)
+    cut = corpus_pipeline.line_dedup(spark, docs, "").localCheckpoint()
+    got = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, cut, "").collect()}
+    assert all(got[k] == rows[k][1].split("\n", 1)[1] for k in range(40))
+    kept = [i for i, t in got.items() if all(x in t for x in exact)]
+    assert len(kept) == 1
+    assert any(sum(x in t for x in near) >= 19 for t in got.values())
+    assert all(t.strip() for t in got.values())
