@@ -10,8 +10,10 @@ of single letters are joined ("i d i o t").
 
 Only documents have labels. Labelled sentences come from them: a sentence of a
 clean document is clean; a toxic document's label goes to those of its sentences
-that hold one of the fewest words which cover the toxic documents and do not occur
-in clean ones. Words of toxic sentences that did the covering and words of clean
+that hold one of the fewest words which cover the toxic documents and are rare in
+clean ones: a candidate occurs in no clean document, or its smoothed document rate in
+toxic ones is ``LEAST_RATIO`` times that in clean ones, so that a few wrong labels or
+quoting documents do not take an insult out of training. Words of toxic sentences that did the covering and words of clean
 sentences train the machine in the space spanned by the landmarks. As the kernel
 has explicit features, the trained machine is one weight for each subsequence of
 the landmarks, and scoring a word does not depend on how many landmarks there are.
@@ -45,6 +47,8 @@ from saldo.llm.textarrays import BASE, chunks, code_points, mix
 TRAIN_DOCS, MAX_CANDIDATES, MAX_CLEAN, LANDMARKS = 4000, 4000, 12_000, 256
 ORDER, SPAN, DECAY, SYMBOLS, LONGEST, THRESHOLD = 4, 6, 0.5, 47, 40, 0.7
 CHUNK = 1_000_000
+#: Smoothed document rate of a candidate in toxic documents over that in clean ones.
+LEAST_RATIO = 4.0
 #: Offsets of the places of a subsequence from its first one, and its weight.
 SHAPES = [
     ((0, *rest), DECAY ** (rest[-1] + 1 - ORDER)) for rest in itertools.combinations(range(1, SPAN), ORDER - 1)
@@ -342,8 +346,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mac
         F.sum("toxic").alias("n_toxic"), F.sum(1 - F.col("toxic")).alias("n_clean"),
         F.slice(F.array_sort(F.collect_set(F.when(F.col("toxic") == 1, F.col("doc")))), 1, train_docs).alias("docs"),
     )
-    hinted = counted.filter((F.col("n_toxic") >= 2) & (F.col("n_clean") == 0)).orderBy(F.desc("n_toxic"), "word").limit(MAX_CANDIDATES).collect()
-    clean_words = counted.filter(F.col("n_clean") > 0).select("word", "n_clean")
+    sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count_distinct("doc").alias("n")).collect()}
+    rate = lambda n, label: (F.col(n) + 0.5) / (sizes.get(label, 0) + 1.0)
+    rare_in_clean = (F.col("n_clean") == 0) | (rate("n_toxic", 1) >= LEAST_RATIO * rate("n_clean", 0))
+    candidate = (F.col("n_toxic") >= 2) & rare_in_clean
+    hinted = counted.filter(candidate).orderBy(F.desc("n_toxic"), "word").limit(MAX_CANDIDATES).collect()
+    clean_words = counted.filter((F.col("n_clean") > 0) & ~candidate).select("word", "n_clean")
     often = clean_words.orderBy(F.desc("n_clean"), "word").limit(MAX_CLEAN // 2).collect()
     rare = clean_words.orderBy(F.xxhash64("word"), "word").limit(MAX_CLEAN // 2).collect()
     positive = cover({r["word"]: r["docs"] for r in hinted})

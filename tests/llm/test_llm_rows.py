@@ -248,6 +248,22 @@ def test_toxicity(spark, odd, empty, clash):
     assert nothing is None and {r.score for r in toxicity.score(odd, nothing).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_labels_with_a_few_errors(spark):
+    insults = ["zanker", "brofix", "quodel"]
+    rows, labels = [], []
+    for k in range(300):
+        bad = k % 3 == 0
+        body = prose(30, k).split()
+        if bad:
+            body.insert(k % 25, insults[k % 9 // 3])
+        rows.append((k, " ".join(body)))
+        labels.append((k, int(bad) if k >= 15 else int(not bad)))
+    machine = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    tests = [(k, f"you {w} there") for k, w in enumerate(insults)] + [(10, "the water and stone"), (11, prose(40, 999))]
+    got = {r.doc_id: r.predicted for r in toxicity.score(spark.createDataFrame(tests, "doc_id long, text string"), machine).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 10: 0, 11: 0}
+
+
 def test_kernel_weights_equal_the_plain_sum():
     import itertools
 
