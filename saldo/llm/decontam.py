@@ -15,6 +15,15 @@ A candidate is confirmed by the exact edit distance between the whole item and t
 best passage around the window, in characters of the lower-cased words joined by
 single blanks; it may be ``MAX_EDITS`` of the item's length.
 
+Items of fewer than ``SHORT`` words are too small for that, and a text without blanks
+is one word whatever its length. They are found by characters instead: with at most e
+edits at least one of e + 1 pieces of the item is in the text unchanged, so the exact
+distance is computed around each place of a piece, and none is missed. A word border at
+the item's ends counts as a character there (not next to a script without blanks), so
+that a short word is not found inside longer ones; an item between characters that are
+neither letters nor digits has distance 0. This takes a search of each text for each
+piece, which grows with the number of short items.
+
 The items go to the tasks in blocks of at most ``BLOCK_BYTES`` of text, one pass
 over the documents for each block, so what is broadcast has a bound for any
 benchmark. Documents are never shuffled; only matches are.
@@ -27,6 +36,7 @@ words; repeated items with one id count as one.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +47,7 @@ from pyspark.sql import functions as F
 from saldo.llm.textarrays import BASE, Words, chunks, mix
 
 STRIDE, SEEDS, SAMPLES, POSITIONS = 4, 6, 5, 5
+SHORT = 2 * STRIDE
 LADDER = [1, 2, 3, 4, 6, 9, 13, 19, 28, 42, 64]
 MAX_EDITS, BLOCK_BYTES, CHUNK = 0.2, 8 * 1024 * 1024, 1_000_000
 
@@ -104,6 +115,48 @@ def word_list(text: str) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in text.lower().encode("utf-8", "surrogatepass").split()]
 
 
+#: Scripts that are written without blanks between words: Thai to Myanmar, Khmer, kana, Han.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SPACED = rf"[^\W_{_UNSPACED}]"
+
+
+class ShortItem:
+    """An item of few words, found by characters in texts whose words are joined by single blanks."""
+
+    def __init__(self, text: str, max_edits: float):
+        self.length = len(text)
+        left, right = (re.match(_SPACED, c) is not None for c in (text[0], text[-1]))
+        self.exact = re.compile((rf"(?<!{_SPACED})" if left else "") + re.escape(text) + (rf"(?!{_SPACED})" if right else ""))
+        self.padded = " " * left + text + " " * right
+        self.limit = int(max_edits * self.length)
+        n = min(self.limit + 1, len(self.padded))
+        cuts = [len(self.padded) * k // n for k in range(n + 1)]
+        self.pieces = [(self.padded[a:b], a) for a, b in zip(cuts, cuts[1:])]
+
+    def distance(self, text: str) -> int | None:
+        """Smallest distance in a text with a blank before and after; None beyond the limit."""
+        if self.exact.search(text):
+            return 0
+        spans = []
+        for piece, offset in self.pieces if self.limit else []:
+            at = text.find(piece)
+            while at >= 0:
+                begin = at - offset - self.limit
+                spans.append((max(0, begin), begin + len(self.padded) + 2 * self.limit))
+                at = text.find(piece, at + 1)
+        best, end = self.limit + 1, 0
+        merged: list[list[int]] = []
+        for a, b in sorted(spans):
+            if merged and a <= end:
+                merged[-1][1] = end = max(end, b)
+            else:
+                merged.append([a, b])
+                end = b
+        for a, b in merged:
+            best = min(best, best_distance(self.padded, text[a:b]))
+        return best if best <= self.limit else None
+
+
 class ItemIndex:
     """LSH tables of one block of items: for each walk, rung and sample the keys of all indexed windows."""
 
@@ -113,7 +166,10 @@ class ItemIndex:
         self.text = [" ".join(w) for w in self.words]
         found = Words([" ".join(w) for w in self.words])
         place = []  # (rung, start in hashes, item, offset)
+        self.short = [k for k, words in enumerate(self.words) if 0 < len(words) < SHORT]
         for k, words in enumerate(self.words):
+            if len(words) < SHORT:
+                continue
             room = len(words) - STRIDE + 1
             rung = max((r for r in LADDER if r <= room), default=1)
             for anchor in range(0, max(1, len(words) - rung - STRIDE + 2), max(STRIDE, rung // 2)):
@@ -176,6 +232,14 @@ class ItemIndex:
             distance = best_distance(self.text[k], " ".join(word_list(raw)))
             if distance <= max_edits * len(self.text[k]):
                 best[d, k] = min(distance, best.get((d, k), distance))
+        if self.short:
+            items = [(k, ShortItem(self.text[k], max_edits)) for k in self.short]
+            for d, text in enumerate(texts):
+                plain = f" {' '.join(word_list(text))} "
+                for k, item in items:
+                    distance = item.distance(plain)
+                    if distance is not None:
+                        best[d, k] = distance
         return [(d, self.ids[k], distance) for (d, k), distance in best.items()]
 
 

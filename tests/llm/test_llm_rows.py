@@ -203,6 +203,21 @@ def test_decontamination(spark, odd, empty, clash):
     assert decontam.matches(clash, items).count() == 0
 
 
+def test_short_items_are_found_at_every_place():
+    words = [f"{a}{b}zq" for a in ("kor", "vel", "mun", "tab") for b in ("ira", "osel")]
+    filler = prose(40, 77).split()
+    for n in range(1, 8):
+        item = " ".join(words[:n])
+        index = decontam.ItemIndex({7: item, 8: "量子力学入門"})
+        texts = [" ".join([*filler[:at], item, *filler[at:]]) for at in range(9)]
+        assert {(d, i) for d, i, distance in index.matches(texts, 0.2) if distance == 0} == {(d, 7) for d in range(9)}
+        edited = [t.replace(words[0], words[0][:2] + "x" + words[0][3:]) for t in texts]
+        assert {(d, i, k) for d, i, k in index.matches(edited, 0.2)} == {(d, 7, 1) for d in range(9)}
+        assert index.matches([f"({item})", "これは量子力学入門です", "a量子力x入門b"], 0.2) == [(0, 7, 0), (1, 8, 0), (2, 8, 1)]
+    cat = decontam.ItemIndex({1: "cat", 2: ""})
+    assert cat.matches(["concatenate", "a cat.", "CAT", "", " "], 0.2) == [(1, 1, 0), (2, 1, 0)]
+
+
 def test_edit_distance_equals_dynamic_programming():
     draw = random.Random(4)
     for _ in range(200):
