@@ -5,18 +5,22 @@ its kind and canonical form, so all spellings of one entity, in all documents,
 lead to the same surrogate: emails get a reserved domain, phone and social
 security numbers keep their layout, cards their issuer digit and a right check
 digit, IBANs their country and right check digits, names their script and gender,
-secrets their character classes.
+secrets their character classes. Letters of other scripts in mail addresses become
+letters of the same script where ``LETTERS`` has it and Latin ones otherwise; digits of
+all scripts become 0 to 9 and combining marks are left out.
 
 Collision check: over the distinct entities of all documents no two may share a
 surrogate and none may equal a real entity. Those that do are drawn again until no
-clash is left. That table holds each entity once. Texts need no join unless there
+clash is left. After ``SAME_LENGTH`` draws mail names, person names and secrets grow by
+a few characters, so small spaces of surrogates do not run out. That table holds each entity once. Texts need no join unless there
 are entities that were drawn again.
 
 Without the key surrogates can neither be predicted nor undone.
 
 Defined results: a null text stays null; texts without entities are unchanged;
 rows repeat as often as in the input; card-like numbers with a wrong check digit
-and dotted numbers beyond 255 are no entities; an entity is at most 128 characters.
+and dotted numbers beyond 255 are no entities, nor are secrets without a letter or
+digit (blank form fields); an entity is at most 128 characters.
 """
 
 from __future__ import annotations
@@ -40,6 +44,23 @@ SYLLABLES = {
     "cyrillic": ["бар", "вел", "гор", "дор", "жел", "зар", "кор", "лан", "мар", "нов", "пет", "рад", "сол", "тар", "чер", "шар"],
     "greek": ["βαλ", "γερ", "δαν", "ζαρ", "καλ", "λαμ", "μαν", "νικ", "παν", "ραφ", "σαν", "ταρ", "φιλ", "χαρ", "θεο", "κων"],
 }
+#: Letters that replace those of each script, by its name in patterns.
+LETTERS = {
+    "Han": "山川水火木林石田土日月星花草鳥魚馬牛羊米竹雨雪雲風天海江河湖金玉",
+    "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむ",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミム",
+    "Hangul": "가나다라마바사아자차카타파하거너더러머버서어저처커터퍼허고노도로",
+    "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "Devanagari": "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
+    "Bengali": "কখগঘচছজঝটঠডঢতথদধনপফবভমযরলশষসহ",
+    "Tamil": "கஙசஞடணதநபமயரலவழளறன",
+    "Thai": "กขคงจฉชซญดตถทนบปผพฟมยรลวสหอ",
+}
+#: Draws before surrogates grow; each as many more add another two characters.
+SAME_LENGTH = 4
+#: For each of 16 values the character that names of a script grow by.
+GROWTH = {"latin": "aeioubdfgklmnrst", "cyrillic": "аеиоубдфгклмнрст", "greek": "αειουβδφγκλμνρστ"}
 SECRET_WORDS = ["token", "password", "passwd", "secret", "api_key", "apikey", "access_key"]
 
 _SECRET_HEAD = rf"(?i:(?:{'|'.join(SECRET_WORDS)})\s{{0,3}}[=:]\s{{0,3}}[\"']?)"
@@ -64,7 +85,7 @@ PATTERN = (
     rf"(?=[0-9+(])(?:{_NUMERIC})"
     rf"|(?=[{''.join(sorted({c for w in SECRET_WORDS for c in (w[0], w[0].upper())}))}])"
     rf"(?:{_SECRET_HEAD}[A-Za-z0-9_+/\-]{{8,96}}={{0,2}}|AKIA[0-9A-Z]{{16}}(?!\w))"
-    r"|(?=[\p{L}0-9])(?<![._%+\-])[\p{L}0-9._%+\-]{1,63}+@[A-Za-z0-9][A-Za-z0-9\-]{0,30}(?:\.[A-Za-z0-9\-]{2,24}){1,3}"
+    r"|(?=[\p{L}\p{Nd}])(?<![\p{M}\p{Nd}._%+\-])[\p{L}\p{M}\p{Nd}._%+\-]{1,63}+@[A-Za-z0-9][A-Za-z0-9\-]{0,30}(?:\.[A-Za-z0-9\-]{2,24}){1,3}"
     r"|(?=[A-Z]{2}\d)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
     rf"|(?=\p{{Lu}}\p{{Ll}})(?:{_NAMES})\s{{1,2}}\p{{Lu}}\p{{L}}{{1,30}}(?!\p{{L}}))"
 )
@@ -120,7 +141,8 @@ def kind_of(e: Column) -> Column:
     digits = _digits(e)
     account = F.replace(e, F.lit(" "))
     return (
-        F.when(e.rlike("^" + _SECRET_HEAD + "[^@]*$") | e.rlike("^AKIA[0-9A-Z]{16}$"), "secret")
+        F.when(e.rlike("^" + _SECRET_HEAD + "[^@]*$"), F.when(e.rlike("^" + _SECRET_HEAD + "[^A-Za-z0-9]*[A-Za-z0-9]"), "secret"))
+        .when(e.rlike("^AKIA[0-9A-Z]{16}$"), "secret")
         .when(e.contains("@"), "email")
         .when(e.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
         .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
@@ -157,6 +179,15 @@ def surrogate(form: Column, kind: Column, key: str, attempt: Column) -> Column:
     def pick(items: str, i: Column) -> Column:
         return F.substr(F.lit(items), number(i) % len(items) + 1, F.lit(1))
 
+    def foreign(c: Column, i: Column) -> Column:
+        kinds = {"Nd": "0123456789", "Ll": "abcdefghijklmnopqrstuvwxyz", "Lu": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "M": ""}
+        kinds |= {f"Is{script}": letters for script, letters in LETTERS.items()} | {"L": kinds["Ll"]}
+        found = F.lit(None).cast("string")
+        for name, letters in reversed(kinds.items()):
+            found = F.when(c.rlike(rf"\p{{{name}}}"), letters).otherwise(found)
+        letters = F.coalesce(found, c)
+        return F.substr(letters, number(i) % F.greatest(F.length(letters), F.lit(1)) + 1, F.lit(1))
+
     def shaped(text: Column) -> Column:
         hexadecimal = text.rlike("^[0-9a-f]*[a-f][0-9a-f]*$")
         return _chars(
@@ -169,7 +200,9 @@ def surrogate(form: Column, kind: Column, key: str, attempt: Column) -> Column:
         )
 
     mapped = shaped(form)
-    user = F.substring_index(mapped, "@", 1)
+    longer = F.least(F.lit(60), F.floor(attempt / SAME_LENGTH).cast("int") * 2)
+    more = F.substr(F.sha2(F.concat(seed, F.lit("c")), 256), F.lit(1), longer)
+    user = F.when(form.rlike(r"[^\x00-\x7F]"), _chars(F.substring_index(form, "@", 1), foreign)).otherwise(F.substring_index(mapped, "@", 1))
     domain = F.substring_index(form, "@", -1)
     place = F.substr(F.sha2(F.concat_ws("\u0000", F.lit(key), F.lit("domain"), domain), 256), F.lit(1), F.lit(8))
     body = F.concat(F.substr(form, F.lit(1), F.lit(1)), F.substr(mapped, F.lit(2), F.length(form) - 2))
@@ -183,15 +216,17 @@ def surrogate(form: Column, kind: Column, key: str, attempt: Column) -> Column:
         syllables = F.array(*[F.lit(s) for s in SYLLABLES[name.split("_")[0]]])
         parts = [F.get(syllables, number(F.lit(k)) % 16) for k in (2, 3, 4, 5)]
         first = F.get(F.array(*[F.lit(g) for g in given]), number(F.lit(1)) % len(given))
-        person = F.when(group == name, F.concat(first, F.lit(" "), F.initcap(F.concat(*parts)))).otherwise(person)
+        added = F.translate(more, "0123456789abcdef", GROWTH[name.split("_")[0]])
+        person = F.when(group == name, F.concat(first, F.lit(" "), F.initcap(F.concat(*parts)), added)).otherwise(person)
     return (
-        F.when(kind == "email", F.concat(user, F.lit("@m"), place, F.lit(".example")))
+        F.when(kind == "email", F.concat(user, more, F.lit("@m"), place, F.lit(".example")))
         .when(kind == "ip", F.concat_ws(".", *[o.cast("string") for o in octets]))
         .when(kind == "card", F.concat(body, check.cast("string")))
         .when(kind == "iban", F.concat(country, iban_check, tail))
         .when((kind == "phone") & form.startswith("+"), F.concat(F.substr(form, F.lit(1), F.lit(2)), F.substr(mapped, F.lit(3))))
         .when((kind == "secret") & form.startswith("AKIA"), F.concat(F.lit("AKIA"), F.substr(mapped, F.lit(5))))
         .when(kind == "name", person)
+        .when(kind == "secret", F.concat(mapped, more))
         .otherwise(mapped)
     )
 
@@ -232,7 +267,7 @@ def redrawn(entities: DataFrame, key: str) -> DataFrame | None:
     while True:
         first = open_.groupBy("kind", "new").agg(F.min("form").alias("holder"))
         holders = first.join(taken, (F.col("kind") == F.col("k")) & (F.col("new") == F.col("taken")), "left_anti")
-        good = open_.join(holders.withColumnRenamed("holder", "form"), ["kind", "new", "form"], "left_semi")
+        good = open_.join(holders.withColumnRenamed("holder", "form"), ["kind", "new", "form"], "left_semi").checkpoint()
         bad = open_.join(good, ["kind", "form"], "left_anti").select("kind", "form").checkpoint()
         if attempt:
             settled = good if settled is None else settled.unionByName(good)

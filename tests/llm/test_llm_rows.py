@@ -126,6 +126,27 @@ def test_clashing_surrogates_are_drawn_again(spark, monkeypatch):
     assert all(a == b for a, b in pairs) and len({a for a, _ in pairs}) == 30
 
 
+def test_surrogates_of_other_scripts(spark):
+    names = ["李小龙", "たなか", "محمد", "דניאל", "कविता", "علی۱۲", "김철수", "ສົມ"]
+    docs = spark.createDataFrame([(k, f"x {n}@mail3.example.com y") for k, n in enumerate(names)], "doc_id long, text string")
+    got = {r.row.doc_id: r for r in pii.replace_entities(docs, "k").collect()}
+    for k, n in enumerate(names):
+        user = got[k].text_clean.split()[1].split("@")[0]
+        assert got[k].kinds == ["email"] and user and sum(a == b for a, b in zip(n, user)) <= 1 and n not in got[k].text_clean
+    assert all("\u4e00" <= c <= "\u9fff" for c in got[0].text_clean.split()[1].split("@")[0])
+
+
+def test_redrawing_ends_in_small_spaces(spark):
+    rows = [(1, "Password: ________ and token=--------"), (2, " ".join(f"token={d}_______" for d in range(10)))]
+    rows += [(3 + k, f"mail {c}@x.org") for k, c in enumerate("abcdefghijklmnopqrstuvwxyzéñüöä")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.row.doc_id: r for r in pii.replace_entities(docs, "k").collect()}
+    assert got[1].text_clean == rows[0][1] and got[1].kinds == []
+    secrets = [x.split("=")[1] for x in got[2].text_clean.split()]
+    assert len(set(secrets)) == 10 and not {f"{d}_______" for d in range(10)} & set(secrets)
+    assert len({got[k].text_clean for k, _ in rows[2:]}) == len(rows) - 2
+
+
 def test_archives(spark, tmp_path):
     big = "<p>" + "é" * 200
     rows = [(3, "u", big), (1, "u\nx%", big), (2, None, big), (4, "u", None), (5, "u", "tiny"), (6, "u", "tiny"), (7, "u", LONG * 3), (None, "u", big), (1, "u", big)]
