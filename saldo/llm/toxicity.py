@@ -21,6 +21,9 @@ the landmarks, and scoring a word does not depend on how many landmarks there ar
 A document's score is a logistic function of its largest margins and of how many
 words lie beyond the border, fitted to the labels of the sample.
 
+Texts are not split into sentences: the machine is trained on and compares single words,
+so toxicity carried by several ordinary words is not learned.
+
 Learning takes about ``TRAIN_DOCS`` documents of each label, drawn by a hash of
 their id; scores cover every whole text.
 
