@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import bpe, decontam, hostrules, langid, linededup, neardup, pii, quotes, toxicity, warc
+from saldo.llm import bpe, decontam, hostrules, langid, linededup, merkle, neardup, pii, quotes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -160,3 +161,74 @@ def op10_quotation_linking(spark, sf):
     linked = quotes.conversations(replies, "conv_id", "turn", "text")
     renamed = {"parent_thread": "parent_conv", "parent_place": "parent_turn", "root_thread": "root_conv", "root_place": "root_turn"}
     return linked.select("row.conv_id", "row.turn", "row.role", "own_text", *[F.col(a).alias(b) for a, b in renamed.items()], "depth")
+
+
+@_query(
+    r"""
+    with recursive base as (
+      select doc_id, source, text,
+        list_reduce(range(8 * len(doc_id::varchar)), lambda c, i:
+          xor(xor(c, case when i % 8 = 0 then ascii(substr(doc_id::varchar, (i // 8 + 1)::int, 1)) else 0 end) >> 1,
+            3988292384 * (xor(c, case when i % 8 = 0 then ascii(substr(doc_id::varchar, (i // 8 + 1)::int, 1)) else 0 end) & 1)), 4294967295) as crc,
+        coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') ||
+        coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head
+      from documents),
+    hashed as (
+      select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+        case when xor(crc, 4294967295) % 5 = 0 then sha256(head || coalesce(strlen(text) || ':' ||
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) end as tampered
+      from base),
+    leaf as (
+      select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+        count(*) over (partition by source) as n, row_number() over () as i from hashed),
+    up as (
+      select 0 as lvl, source, pos, n, leaf as d from leaf
+      union all
+      select lvl + 1, source, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' order by pos)) from up where n > 1
+      group by lvl, source, n, pos // 16),
+    sub as (
+      select source, lvl as tall, d as subroot, row_number() over (order by source nulls first) - 1 as pos,
+        count(*) over () as n from up where n = 1),
+    above as (
+      select 0 as lvl, pos, n, subroot as d from sub
+      union all
+      select lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' order by pos)) from above where n > 1
+      group by lvl, n, pos // 16),
+    step as (
+      select lvl, source, pos, coalesce(string_agg(d, '') over (w rows between unbounded preceding and 1 preceding), '') as l,
+        coalesce(string_agg(d, '') over (w rows between 1 following and unbounded following), '') as r
+      from up where n > 1 window w as (partition by lvl, source, pos // 16 order by pos)),
+    above_step as (
+      select lvl, pos, coalesce(string_agg(d, '') over (w rows between unbounded preceding and 1 preceding), '') as l,
+        coalesce(string_agg(d, '') over (w rows between 1 following and unbounded following), '') as r
+      from above where n > 1 window w as (partition by lvl, pos // 16 order by pos)),
+    walk as (
+      select i, 0 as lvl, leaf.source, leaf.pos, sub.pos as top_pos, tall, coalesce(tampered, leaf) as d, '' as proof
+      from leaf join sub on leaf.source is not distinct from sub.source
+      union all
+      select i, walk.lvl + 1, walk.source, case when walk.lvl < tall then walk.pos // 16 end,
+        case when walk.lvl < tall then top_pos else top_pos // 16 end, tall,
+        sha256(coalesce(s.l, a.l) || d || coalesce(s.r, a.r)), proof || coalesce(s.l, a.l) || coalesce(s.r, a.r)
+      from walk
+        left join step s on walk.lvl < tall and s.lvl = walk.lvl and s.pos = walk.pos and s.source is not distinct from walk.source
+        left join above_step a on walk.lvl >= tall and a.lvl = walk.lvl - tall and a.pos = top_pos
+      where s.l is not null or a.l is not null)
+    select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, folded_root, folded_root = root as verified
+    from leaf join sub on leaf.source is not distinct from sub.source
+      join (select i, arg_max(d, lvl) as folded_root, arg_max(proof, lvl) as proof from walk group by i) using (i)
+      cross join (select d as root from above where n = 1)
+    """
+)
+def op12_merkle_manifest(spark, sf):
+    """Proof digests of all documents; every fifth folds a tampered leaf. Null ids are never tampered."""
+    docs = table(spark, sf, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", ascii_uppercase, ascii_uppercase.lower())
+    tampered = F.when(fold(5) == 0, merkle.leaf_digest(*head, lowered))
+    found = merkle.proofs(merkle.manifest(docs, merkle.leaf_digest(*head, F.col("text")), carry={"tampered": tampered}))
+    folded = merkle.fold(F.coalesce("carried.tampered", "leaf"), F.col("path"))
+    proven = found.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(merkle.siblings_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"),
+    )
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
