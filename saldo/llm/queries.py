@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import bpe, decontam, hostrules, langid, linededup, merkle, neardup, pii, quotes, toxicity, warc
+from saldo.llm import bpe, decontam, hostrules, langid, linededup, merkle, neardup, pii, preference, quotes, toxicity, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -163,6 +163,13 @@ def op10_quotation_linking(spark, sf):
     return linked.select("row.conv_id", "row.turn", "row.role", "own_text", *[F.col(a).alias(b) for a, b in renamed.items()], "depth")
 
 
+@_query()
+def op11_feast_whitening(spark, sf):
+    """Leading eight components of all embeddings; the deviation is null where it passes the range of a long."""
+    found = whitening.whiten(table(spark, sf, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 @_query(
     r"""
     with recursive base as (
@@ -232,3 +239,12 @@ def op12_merkle_manifest(spark, sf):
         F.sha2(merkle.siblings_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"),
     )
     return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@_query()
+def op13_preference_quality(spark, sf):
+    """Quality scores of all documents, learned from the labels outside the held-out hash class."""
+    docs = table(spark, sf, "documents")
+    learned = table(spark, sf, "labels").filter(F.coalesce(fold(4) != 2, F.lit(True)))
+    found = preference.score(docs, learned)
+    return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
