@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from saldo.operators import delinquency, mappings, receivables, study
@@ -165,7 +166,14 @@ def _study(spark):
          ("c", dt.date(2024, 3, 1), Decimal(50))],
         "nm_cc string, nm_data date, vl_valor decimal(18,2)",
     )
-    return budget, fact
+    others = [c for c in study.LEDGER_COLUMNS if c not in (*fact.columns, "ano_fatos")]
+    return budget, fact.withColumns({c: F.lit(c) for c in others})
+
+
+def test_a_missing_ledger_column_is_an_error(spark):
+    budget, fact = _study(spark)
+    with pytest.raises(AnalysisException, match="nm_conta"):
+        study.budget_ledger_join(budget, fact.drop("nm_conta"), [2025])
 
 
 def test_missing_cost_centers_match_each_other(spark):
