@@ -43,6 +43,8 @@ SCALE, SHIFT, COMPONENTS = 1024, 100_000, 8
 MOST_DIMENSIONS, MOST_SCALED = 4096, 2**30
 #: Eigenvalues of an interval, nodes of a half contour, turns at most.
 PER_INTERVAL, NODES, TURNS = 4, 8, 20
+#: Span of an interval's eigenvalues over the margin around them; gaps (of the largest entry) that count as none.
+WIDEST, NARROW = 8, 1e-9
 #: Largest whole number below which doubles are exact.
 EXACT = 2**53
 
@@ -199,42 +201,52 @@ class Interval:
         return [(centre + radius * t, w * radius * t / 2) for t, w in zip(turn, weights)]
 
 
+def _groups(gap: np.ndarray, start: int, end: int) -> list[tuple[int, int]]:
+    """The eigenvalues start ... end as groups whose span is not too wide for the gaps at their ends.
+
+    ``gap[k]`` lies above eigenvalue k. A group is divided at its widest gap, so that the
+    contour around it does not cut close to some of its eigenvalues.
+    """
+    span = gap[start + 1 : end + 1].sum()
+    if end == start or span <= WIDEST * min(gap[start], gap[end + 1]) / 2:
+        return [(start, end)]
+    cut = start + 1 + int(np.argmax(gap[start + 1 : end + 1]))
+    if gap[cut] <= NARROW:
+        return [(start, end)]
+    return _groups(gap, start, cut - 1) + _groups(gap, cut, end)
+
+
 def intervals(v: np.ndarray, wanted: int) -> list[Interval]:
-    """Intervals that together hold the ``wanted`` largest eigenvalues, bounded in gaps of the spectrum.
+    """Intervals that together hold the ``wanted`` largest eigenvalues of ``v``, whose largest entry is 1.
 
-    A bound is never put between eigenvalues that are equal at rounding level, so an
-    interval may hold more than ``PER_INTERVAL``.
+    They are bounded in gaps of the spectrum. A bound is never put between eigenvalues
+    that are equal at rounding level, so an interval may hold more than ``PER_INTERVAL``.
     """
     diagonal, beside = tridiagonal(v)
-    d = len(v)
-    some = min(d, wanted + 2 * PER_INTERVAL)
-    values = located(diagonal, beside, some)
+    d, some = len(v), min(len(v), wanted + 2 * PER_INTERVAL)
     while True:
-        gap = values[:-1] - values[1:]
-        clear = gap > 1e-9 * values[0]
-        # the last bound is the widest of the first gaps at or below the wanted eigenvalue
-        open_ = [k for k in range(wanted - 1, len(gap)) if clear[k]]
-        if open_ or some == d:
+        values = located(diagonal, beside, some)
+        gap = np.append(np.inf, values[:-1] - values[1:])  # above each eigenvalue
+        ends = [k for k in range(wanted, some) if gap[k] > NARROW]
+        if ends or some == d:
             break
         some = min(d, 2 * some)
-        values = located(diagonal, beside, some)
-    near = [k for k in open_ if k <= open_[0] + PER_INTERVAL] if open_ else []
-    last = max(near, key=lambda k: gap[k]) if near else d - 1
-    bounds, k = [], 0
-    while k <= last:
-        end = next((e for e in range(min(k + PER_INTERVAL - 1, last), last) if clear[e]), last)
-        bounds.append((k, end))
-        k = end + 1
-    def below(e: int) -> float:
-        return (values[e] + values[e + 1]) / 2 if e + 1 < len(values) else values[e] - 0.1 * values[0]
-
-    out = []
-    high = values[0] + 0.1 * values[0]
-    for start, end in bounds:
-        low = below(end)
-        above = inertia(diagonal, beside, np.array([low, high]))
-        out.append(Interval(float(low), float(high), int(above[0] - above[1])))
-        high = low
+    # of the first gaps below the wanted eigenvalues the widest bounds the last interval
+    stop = max((k for k in ends if k < ends[0] + PER_INTERVAL), key=lambda k: gap[k]) if ends else d
+    gap = np.append(gap, np.inf)
+    out, start = [], 0
+    while start < stop:
+        end = next((k for k in range(min(start + PER_INTERVAL, stop), stop) if gap[k] > NARROW), stop) - 1
+        for first, last in _groups(gap, start, end):
+            near = min(gap[first], gap[last + 1], 0.1 * values[0])
+            margin = max(values[first] - values[last], near)
+            low = values[last] - min(gap[last + 1], margin) / 2
+            high = values[first] + min(gap[first], margin) / 2
+            above = inertia(diagonal, beside, np.array([low, high]))
+            out.append(Interval(float(low), float(high), int(above[0] - above[1])))
+        start = end + 1
+    if sum(p.inside for p in out) != inertia(diagonal, beside, np.array([out[-1].low]))[0]:
+        raise ArithmeticError(f"eigenvalues between the intervals {out}")
     return out
 
 
@@ -253,10 +265,9 @@ def _solved(spark: SparkSession, v: np.ndarray, tasks: list[tuple], blocks: list
             yield pd.DataFrame(out, columns=["interval", "node", "block"])
 
     points = spark.createDataFrame(tasks, "interval int, node int, zr double, zi double, wr double, wi double")
-    points = points.repartition(max(len(tasks) // 2, 1), "interval", "node")
-    found = points.mapInPandas(run, "interval int, node int, block binary").orderBy("interval", "node").collect()
+    found = points.repartition(max(len(tasks) // 4, 1)).mapInPandas(run, "interval int, node int, block binary").collect()
     out = [np.zeros_like(b) for b in blocks]
-    for r in found:
+    for r in sorted(found, key=lambda r: (r["interval"], r["node"])):
         out[r["interval"]] += np.frombuffer(r["block"]).reshape(blocks[r["interval"]].shape)
     shared.destroy()
     return out
@@ -292,14 +303,15 @@ def feast(spark: SparkSession, v: np.ndarray, wanted: int) -> tuple[np.ndarray,
         better = False
         for k, (p, block) in enumerate(zip(parts, projected)):
             values, vectors = ritz(v, block)
-            inside = (values > p.low) & (values <= p.high)
             blocks[k] = vectors
-            if inside.sum() != p.inside:
-                continue
-            off = np.abs(v @ vectors[:, inside] - vectors[:, inside] * values[inside]).max()
-            if off < best[k] / 2:
+            residual = np.abs(v @ vectors - vectors * values).max(axis=0)
+            inside = np.flatnonzero((values > p.low) & (values <= p.high))
+            # what is left of the outside may mix to a value inside, never to a small residual
+            inside = np.sort(inside[np.argsort(residual[inside], kind="stable")][: p.inside])
+            off = residual[inside].max(initial=0.0)
+            if len(inside) == p.inside and off < best[k] / 2:
                 better, best[k], kept[k] = True, off, (values[inside], vectors[:, inside])
-        if not better and all(k is not None for k in kept):
+        if all(k is not None for k in kept) and (not better or max(best) < 1e-15):
             break
     missing = [p for p, k in zip(parts, kept) if k is None]
     if missing or max(best) > 1e-11:
