@@ -19,7 +19,7 @@ on the length of a text as such. They are computed once and kept in a checkpoint
 Learning takes at most ``TRAIN_DOCS`` documents of each label, those with the smallest
 hash of id and features, and ``ROUNDS`` pairs for each document of the more frequent label.
 
-Defined results: a null or empty text has all features zero and is scored like any other;
+Defined results: a text without words (or null) has all features zero and is scored like any other;
 rows repeat as often as in the input; a document with several label rows has the label that
 most of them give, good in a tie; rows without id are scored and never learned; with labels
 of one kind only, every score is that label, and without labels 0.5; an empty table gives
@@ -123,7 +123,7 @@ def features(texts: list[str], table: np.ndarray) -> np.ndarray:
         lines = [line for line in text.split("\n") if line]
         rest[k, 6] = 1 - len(set(lines)) / len(lines) if lines else 0.0
     rest[:, 7] = np.sqrt((counts[:, DIGIT] + counts[:, SYMBOL] + counts[:, : len(SIGNS)].sum(axis=1)) / solid[:, 0])
-    out[sizes == 0, CLASSES:] = 0
+    out[sizes == 0] = 0
     return out
 
 
