@@ -126,8 +126,11 @@ VIEWS = {
                case when vl_mes=12 then concat('Cancelado ',nm_iniciativa) when vl_mes=11 then null
                     when nm_iniciativa='MIDDLE EAST' then 'ORIENTE MEDIO'
                     when vl_mes=4 then replace(nm_iniciativa,'A','Á')
-                    when vl_mes=5 then lower(nm_iniciativa) else nm_iniciativa end as nm_iniciativa,
-               nm_acao, cdg_natorcamentonvl4, nm_natorcamentonvl4, vl_ano, vl_mes, vl_ajustado
+                    when vl_mes=5 then lower(nm_iniciativa) when vl_mes=6 then replace(nm_iniciativa,'R','ř')
+                    when vl_mes=7 then replace(replace(nm_iniciativa,'O','Ő'),'A','ă')
+                    when vl_mes=8 then replace(nm_iniciativa,'E','E\u0301') else nm_iniciativa end as nm_iniciativa,
+               case when vl_mes=9 then replace(replace(nm_acao,'L','ł'),'I','Į') else nm_acao end as nm_acao,
+               cdg_natorcamentonvl4, nm_natorcamentonvl4, vl_ano, vl_mes, vl_ajustado
         from fx_plan""",
     "fx_year_map": f"""
         select distinct codccusto as cc, cast(year(l_shipdate) as string) as ano

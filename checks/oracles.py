@@ -93,14 +93,25 @@ _SUMMED = {
     "cube_revenue_initiative": "m_receita", "cube_revenue_scenario": "m_cenario", "cube_account_balance": "m_contabil",
     "cube_expense_snapshot": "m_foto_despesa", "cube_revenue_snapshot": "m_foto_receita",
 }
-for _name, (_levels, _measure, _one) in _CUBES.items():
-    _member = f"and entidade='{CUBE_ENTITY}'" if _one else ""
-    _add(
-        _name,
-        f"""select {_levels}, cast(sum({_SUMMED[_name]}) as decimal(28,2)) as {_measure} from fx_cube
-            where vl_ano*100+vl_mes between {FIRST_CUBE} and {LAST_CUBE} {_member}
-            group by {_levels} having sum({_SUMMED[_name]}) is not null""",
-    )
+
+
+def _slice_sql(name: str) -> str:
+    levels, measure, one = _CUBES[name]
+    member = f"and entidade='{CUBE_ENTITY}'" if one else ""
+    return f"""select {levels}, cast(sum({_SUMMED[name]}) as decimal(28,2)) as {measure} from fx_cube
+            where vl_ano*100+vl_mes between {FIRST_CUBE} and {LAST_CUBE} {member}
+            group by {levels} having sum({_SUMMED[name]}) is not null"""
+
+
+for _name in _CUBES:
+    _add(_name, _slice_sql(_name))
+_add(
+    "cube_slices",
+    " union all by name ".join(
+        f"select '{n}' as fatia, * exclude ({m}), cast({m} as decimal(28,2)) as valor from s_{n}" for n, (_, m, _) in _CUBES.items()
+    ),
+    {f"s_{n}": _slice_sql(n) for n in _CUBES},
+)
 
 # --- ledger ------------------------------------------------------------------
 
@@ -196,22 +207,26 @@ _add(
 
 # --- budget ------------------------------------------------------------------
 
+
+def _folded(parts: str) -> str:
+    """Without case and accents; the barred l has no accent that could be taken off."""
+    return f"rtrim(replace(strip_accents(lower(concat({parts}))),'ł','l'))"
+
+
 _MAP = {
     "centros": _CENTERS,
     "mapa": """
         select cc, cast(ano as integer) as ano,
                case when lower(projeto)='middle east' then 'Oriente Médio' else projeto end as projeto, acao, unidade
         from fx_year_map left join centros using (cc)""",
-    "chaves": """
-        select rtrim(strip_accents(lower(concat(ano,projeto,acao,unidade)))) as chave, cc as nm_cc from mapa""",
-    "linhas": """
-        select *, rtrim(strip_accents(lower(concat(vl_ano,nm_iniciativa,nm_acao,nm_unidade)))) as chave
-        from fx_budget""",
+    "chaves": f"select {_folded('ano,projeto,acao,unidade')} as chave, cc as nm_cc from mapa",
+    "linhas": f"select *, {_folded('vl_ano,nm_iniciativa,nm_acao,nm_unidade')} as chave from fx_budget",
 }
 _add("budget_cc_map", "select distinct * from mapa", _MAP)
 _add(
     "collated_key_join",
-    "select chave, nm_cc, count(*) as linhas from linhas join chaves using (chave) group by all",
+    """select min(concat(vl_ano,nm_iniciativa,nm_acao,nm_unidade)) as chave, nm_cc, count(*) as linhas
+       from linhas join chaves using (chave) group by linhas.chave, nm_cc""",
     _MAP,
 )
 _add(
@@ -589,6 +604,25 @@ _COUNTS = {
         from marcas where dt_datacriacao<=limite and cdg_codtmv is not null group by 1, 2""",
 }
 _add("invoices_by_channel", "select * from contagem", _COUNTS)
+_add("invoices_by_channel_bitmap", "select * from contagem", _COUNTS)
+_add(
+    "invoices_by_year_bitmap",
+    """select ano_venc, cdg_codtmv as tipo_mov, count(distinct cdg_idmov) as notas
+       from marcas where dt_datacriacao<=limite and cdg_codtmv is not null
+       group by grouping sets ((ano_venc), (ano_venc, cdg_codtmv))""",
+    _FLAGS,
+)
+_DAY = "dia::timestamp"
+_add(
+    "delinq_daily",
+    f"""select tipo_mov, dia, count(cdg_idlan) as parcelas, cast(coalesce(sum(vl_valororiginal),0) as decimal(38,8)) as valor
+        from (select distinct cdg_codtmv as tipo_mov from base) c
+        cross join (select cast(unnest(generate_series(timestamp '{AS_OF}' - interval 1 year, timestamp '{AS_OF}', interval 1 day)) as date) as dia) d
+        left join base on cdg_codtmv is not distinct from tipo_mov and {_LATE.format(limit=_DAY)}
+             and not coalesce(lower(trim(nm_descstatuslcto))='baixado' and dt_databaixa<={_DAY}, false)
+        group by 1, 2""",
+    _BASE,
+)
 _add("invoices_no_outlier", "select * from contagem where tipo_mov not in ('2.1.1','2.1.13')", _COUNTS)
 _add(
     "channel_matrix",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import AS_OF, FIRST_DUE, LAST_MONTH, NEW, OLD, PLANS, base_table, view
-from saldo.functions.text import collation_key, local_number
+from saldo.functions.text import collation_key, local_number, spelled
 from saldo.operators import (
     budget,
     coverage,
@@ -113,6 +113,18 @@ def fund_table_extract(spark, sf):
     return funds.fund_table_extract(_documents(spark, sf))
 
 
+CUBES = {
+    "cube_budget_expense": (cubes.BUDGET_EXPENSE, "vl_ajustado"),
+    "cube_executed_expense": (cubes.EXECUTED_EXPENSE, "m_executado"),
+    "cube_executed_entities": (cubes.EXECUTED_ENTITIES, "m_entidades"),
+    "cube_revenue_initiative": (cubes.REVENUE_INITIATIVE, "m_receita"),
+    "cube_revenue_scenario": (cubes.REVENUE_SCENARIO, "m_cenario"),
+    "cube_account_balance": (cubes.ACCOUNT_BALANCE, "m_contabil"),
+    "cube_expense_snapshot": (cubes.EXPENSE_SNAPSHOT, "m_foto_despesa"),
+    "cube_revenue_snapshot": (cubes.REVENUE_SNAPSHOT, "m_foto_receita"),
+}
+
+
 def _cube(name: str, slice_: cubes.Slice, measure: str) -> None:
     def run(spark, sf):
         entity = CUBE_ENTITY if slice_.one_entity else None
@@ -121,14 +133,15 @@ def _cube(name: str, slice_: cubes.Slice, measure: str) -> None:
     _registered[name] = run
 
 
-_cube("cube_budget_expense", cubes.BUDGET_EXPENSE, "vl_ajustado")
-_cube("cube_executed_expense", cubes.EXECUTED_EXPENSE, "m_executado")
-_cube("cube_executed_entities", cubes.EXECUTED_ENTITIES, "m_entidades")
-_cube("cube_revenue_initiative", cubes.REVENUE_INITIATIVE, "m_receita")
-_cube("cube_revenue_scenario", cubes.REVENUE_SCENARIO, "m_cenario")
-_cube("cube_account_balance", cubes.ACCOUNT_BALANCE, "m_contabil")
-_cube("cube_expense_snapshot", cubes.EXPENSE_SNAPSHOT, "m_foto_despesa")
-_cube("cube_revenue_snapshot", cubes.REVENUE_SNAPSHOT, "m_foto_receita")
+for _name, (_slice, _measure) in CUBES.items():
+    _cube(_name, _slice, _measure)
+
+
+@_query
+def cube_slices(spark, sf):
+    readings = {n: cubes.Reading(s, m, CUBE_ENTITY, FIRST_CUBE, LAST_CUBE) for n, (s, m) in CUBES.items()}
+    return cubes.cube_slices(view(spark, sf, "fx_cube"), readings)
+
 
 # --- ledger ------------------------------------------------------------------
 
@@ -244,7 +257,8 @@ def collated_key_join(spark, sf):
         rows.withColumn("chave", key)
         .join(found, "chave")
         .groupBy("chave", "nm_cc")
-        .agg(F.count(F.lit(1)).alias("linhas"))
+        .agg(F.min(spelled("chave")).alias("menor"), F.count(F.lit(1)).alias("linhas"))
+        .select(F.col("menor").alias("chave"), "nm_cc", "linhas")
     )
 
 
@@ -578,6 +592,29 @@ def invoices_by_channel(spark, sf):
     return delinquency.invoices_by_channel(_flags(spark, sf), OLD, NEW)
 
 
+def _bitmaps(spark, sf):
+    flags = _flags(spark, sf)
+    return delinquency.invoice_bitmaps(flags, delinquency.invoice_numbers(delinquency.created_in_time(flags)))
+
+
+@_query
+def invoices_by_channel_bitmap(spark, sf):
+    return delinquency.invoices_from_bitmaps(_bitmaps(spark, sf), OLD, NEW)
+
+
+@_query
+def invoices_by_year_bitmap(spark, sf):
+    """Distinct invoices of each year over all months and channels, and by channel over all months."""
+    bitmaps = _bitmaps(spark, sf).checkpoint()
+    whole = delinquency.count_bitmaps(bitmaps, ["ano_venc"]).withColumn("tipo_mov", F.lit(None).cast("string"))
+    return whole.unionByName(delinquency.count_bitmaps(bitmaps, ["ano_venc", "tipo_mov"]))
+
+
+@_query
+def delinq_daily(spark, sf):
+    return delinquency.delinq_daily(_base(spark, sf), AS_OF.replace(str(NEW), str(OLD)), AS_OF)
+
+
 @_query
 def invoices_no_outlier(spark, sf):
     counts = delinquency.invoices_by_channel(_flags(spark, sf), OLD, NEW)

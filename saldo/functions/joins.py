@@ -70,6 +70,21 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
     )
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of hot keys with ``_right_slot`` in place of ``_slots``, the number of slots of their key.
+
+    Equal rows are counted first, which combines them in each task, and then take the slots
+    in turn from the one that the row's hash names. So the slots depend on the rows alone and
+    not on their order, and a key whose rows are all equal is divided too.
+    """
+    columns = [c for c in rows.columns if c != "_slots"]
+    counted = rows.groupBy(*[f"`{c}`" for c in columns], "_slots").agg(F.count(F.lit(1)).alias("_times"))
+    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
+    turn = F.pmod(F.xxhash64(*[f"`{c}`" for c in columns]), F.col("_slots")) + F.col("_copy")
+    slot = F.pmod(turn, F.col("_slots")).cast("int")
+    return copies.withColumn("_right_slot", slot).drop("_slots", "_times", "_copy")
+
+
 def skewed_left_join(
     left: DataFrame,
     right: DataFrame,
@@ -88,8 +103,9 @@ def skewed_left_join(
     taken out again: every such key has rows, so one copy at least stays. With a
     ``unique`` right key no key can be hot there and a plain left join is enough.
 
-    Slots follow the row's place in its input, so equal rows are divided too. The
-    right side should be a scan or another input whose order a repeated task keeps.
+    Slots follow from the rows themselves (see ``dealt``), so a repeated task after a lost
+    executor gives every row the slot it had before. The right side is read a second time
+    for the rows of its hot keys.
 
     ``keys`` maps left columns to right columns; the right columns must have
     names of their own, and all of them stay in the result.
@@ -116,9 +132,9 @@ def skewed_left_join(
         found = side.join(hot, same(side, hot, ours, names, null_safe), "left").drop(*names)
         return found.withColumn("_slots", F.coalesce("_slots", F.lit(1)))
 
-    placed = right.withColumn("_place", F.monotonically_increasing_id())
-    pieces = with_slots(placed, theirs).withColumn("_right_slot", F.pmod("_place", F.col("_slots")).cast("int"))
-    pieces = pieces.drop("_slots", "_place").withColumn("_met", F.lit(True))
+    known = same(right, hot, theirs, names, null_safe)
+    cold = right.join(hot, known, "left_anti").withColumn("_right_slot", F.lit(0))
+    pieces = cold.union(dealt(right.join(hot, known).drop(*names))).withColumn("_met", F.lit(True))
     copies = with_slots(left, list(keys)).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.col("_slots") - 1)))
     on = same(copies, pieces, list(keys), theirs, null_safe) & (copies["_slot"] == pieces["_right_slot"])
     joined = copies.join(pieces, on, "left").filter((F.col("_slots") == 1) | F.col("_met"))

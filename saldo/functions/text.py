@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accented Latin-1 letters and their plain forms.
-ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+#: Compares without case, accents and trailing blanks, for letters of every script.
+NAME_COLLATION = "UNICODE_CI_AI_RTRIM"
 
 # A cast to double would accept the type suffixes of Java literals (1.5d, 2f).
 JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
@@ -16,11 +15,16 @@ JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
 def collation_key(*parts: Column | str) -> Column:
     """Concatenation compared without case, accents or trailing blanks.
 
-    NULL parts count as empty text. A computed key keeps the comparison an
-    ordinary hashable equality, which a collated join condition would not be.
+    NULL parts count as empty text. The value keeps its spelling; only comparisons
+    follow the collation. Spark joins and groups such columns by their sort keys, so an
+    equality of them is an ordinary hash or sort-merge join.
     """
-    joined = F.concat_ws("", *parts)
-    return F.rtrim(F.translate(F.lower(joined), ACCENTED, PLAIN))
+    return F.collate(F.concat_ws("", *parts), NAME_COLLATION)
+
+
+def spelled(value: Column | str) -> Column:
+    """A collated value as plain text, compared byte by byte."""
+    return F.collate(value, "UTF8_BINARY")
 
 
 def fold_case(value: Column | str) -> Column:

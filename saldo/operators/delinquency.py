@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.functions.dates import in_years
-from saldo.functions.numbers import as_amount, percent
-from saldo.functions.ranking import first_rows
+from saldo.functions.numbers import MONEY, as_amount, percent
+from saldo.functions.ranking import first_rows, number_rows
 from saldo.functions.text import id_text
 from saldo.operators.mappings import (
     AUDIT_NAMES,
@@ -87,14 +87,104 @@ def delinq_flags_now(base: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def delinq_daily(base: DataFrame, first: str, last: str) -> DataFrame:
+    """(tipo_mov, dia, parcelas, valor): the open and late instalments of every channel on every day.
+
+    What ``delinq_flags`` says of one cut-off, for the midnight of each day from ``first`` to
+    ``last``. Every instalment is late and open over one span of days, so it gives at most two
+    events, which are summed by channel and day before they are shuffled; running sums over a
+    channel's days then hold the balance. An instalment paid late counts from the first day on,
+    as its flag does not look at the cut-off. Rows without channel are a channel of their own.
+    """
+    due, paid = F.to_date("dt_datavencimento"), F.col("dt_databaixa")
+    low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
+    # the first midnight that is not before the payment
+    settled = F.when(paid > F.to_date(paid).cast("timestamp"), F.date_add(F.to_date(paid), 1)).otherwise(F.to_date(paid))
+    begins = F.when(paid > F.col("dt_datavencimento"), low).when(paid.isNull(), F.date_add(due, 1))
+    ends = F.when(paid.isNotNull() & F.coalesce(_says_paid(), F.lit(False)), settled)
+    spans = base.select(
+        F.col("cdg_codtmv").alias("tipo_mov"), F.col("vl_valororiginal").alias("_valor"),
+        F.greatest(begins, low).alias("_de"), ends.alias("_ate"), begins.isNull().alias("_nunca"),
+    ).filter(~F.col("_nunca") & (F.col("_ate").isNull() | (F.col("_de") < F.col("_ate"))) & (F.col("_de") <= high))
+    event = F.array(
+        F.struct(F.col("_de").alias("dia"), F.lit(1).alias("_sinal")),
+        F.struct(F.col("_ate").alias("dia"), F.lit(-1).alias("_sinal")),
+    )
+    events = spans.select("tipo_mov", "_valor", F.inline(event)).filter(F.col("dia") <= high)
+    signed = (F.col("_sinal") * F.col("_valor")).cast(MONEY)
+    daily = events.groupBy("tipo_mov", "dia").agg(
+        F.sum("_sinal").alias("parcelas"), F.sum(signed).cast(MONEY).alias("valor")
+    )
+    nothing = [F.lit(0).cast("bigint").alias("parcelas"), F.lit(0).cast(MONEY).alias("valor")]
+    days = base.select(F.col("cdg_codtmv").alias("tipo_mov")).distinct()
+    days = days.select("tipo_mov", F.explode(F.sequence(low, high)).alias("dia"), *nothing)
+    filled = daily.unionByName(days).groupBy("tipo_mov", "dia").agg(F.sum("parcelas").alias("_n"), F.sum("valor").alias("_v"))
+    until = Window.partitionBy("tipo_mov").orderBy("dia").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return filled.select(
+        "tipo_mov", "dia", F.sum("_n").over(until).alias("parcelas"), F.sum("_v").over(until).cast(MONEY).alias("valor")
+    )
+
+
+def created_in_time(flags: DataFrame) -> DataFrame:
+    """Instalments of a channel that were created by the cut-off."""
+    return flags.filter(
+        (F.col("dt_datacriacao") <= F.col("data_limite_corte")) & F.col("cdg_codtmv").isNotNull()
+    )
+
+
+def invoice_numbers(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(cdg_idmov, numero): each invoice with a number of its own, counted from 0 without gaps.
+
+    Numbers follow the invoices' first creation, so those of one month lie close together
+    and their bitmaps are few. ``known`` is an earlier result; its numbers stay and new
+    invoices go on after them.
+    """
+    fresh = rows.groupBy("cdg_idmov").agg(F.min("dt_datacriacao").alias("_criada"))
+    start = 0
+    if known is not None:
+        fresh = fresh.join(known.select("cdg_idmov"), "cdg_idmov", "left_anti")
+        start = known.agg(F.coalesce(F.max("numero") + 1, F.lit(0))).first()[0]
+    numbered = number_rows(fresh, "numero", F.asc("_criada"), F.asc("cdg_idmov"))
+    numbered = numbered.select("cdg_idmov", (F.col("numero") + (start - 1)).alias("numero"))
+    return numbered if known is None else known.select("cdg_idmov", "numero").unionByName(numbered)
+
+
+def invoice_bitmaps(flags: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(mes, tipo_mov, ano_venc, bloco, bits): the invoices of each cell as bitmaps of their numbers.
+
+    This is the state to store for each month of loads: bitmaps of one cell are merged by OR,
+    within and across loads, and never count an invoice twice.
+    """
+    rows = created_in_time(flags).select(
+        F.month("dt_datacriacao").alias("mes"), F.col("cdg_codtmv").alias("tipo_mov"), "ano_venc", "cdg_idmov"
+    )
+    numbered = rows.join(numbers, "cdg_idmov")
+    # Spark counts buckets from 1 and has no bit for negative numbers; ours begin at 0
+    place = F.col("numero") + 1
+    return numbered.groupBy("mes", "tipo_mov", "ano_venc", F.bitmap_bucket_number(place).alias("bloco")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+
+
+def count_bitmaps(bitmaps: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct invoices (``notas``) by some of the bitmaps' columns, exact for any choice of them."""
+    merged = bitmaps.groupBy(*by, "bloco").agg(F.bitmap_or_agg("bits").alias("bits"))
+    counted = merged.groupBy(*by) if by else merged.groupBy()
+    return counted.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).cast("bigint").alias("notas"))
+
+
+def invoices_from_bitmaps(bitmaps: DataFrame, old: int, new: int) -> DataFrame:
+    """``invoices_by_channel`` from the stored bitmaps."""
+    counts = count_bitmaps(bitmaps, ["mes", "tipo_mov", "ano_venc"])
+    return counts.groupBy("mes", "tipo_mov").pivot("ano_venc", [old, new]).agg(F.sum("notas")).fillna(0).orderBy("mes", "tipo_mov")
+
+
 def invoices_by_channel(flags: DataFrame, old: int, new: int) -> DataFrame:
     """Distinct invoices by creation month and channel, both years side by side.
 
     Only instalments created by the cut-off count. Missing combinations are 0.
     """
-    cohort = flags.filter(
-        (F.col("dt_datacriacao") <= F.col("data_limite_corte")) & F.col("cdg_codtmv").isNotNull()
-    )
+    cohort = created_in_time(flags)
     return (
         cohort.groupBy(
             F.month("dt_datacriacao").alias("mes"), F.col("cdg_codtmv").alias("tipo_mov")

@@ -1,12 +1,15 @@
 """Cube slices as aggregations over a fact table.
 
 Each slice sums one measure by a fixed set of levels over a range of months,
-for one entity or all, and keeps only groups that hold a value.
+for one entity or all, and keeps only groups that hold a value. Several slices of one
+cube are grouping sets of a single aggregation, so the cube is scanned once for all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +59,14 @@ class Slice:
     snapshot: str | None = None
     one_entity: bool = True
 
+    def rows(self, entity: str | None = None, first: int | None = None, last: int | None = None) -> Column:
+        """Which rows of the cube the slice sums."""
+        low, high = first or self.first, last or self.last
+        if self.one_entity and entity is None:
+            raise ValueError(f"slice {self.name} needs the entity")
+        inside = F.col(self.snapshot).between(low, high) if self.snapshot else months_between("vl_ano", "vl_mes", low, high)
+        return inside & (F.col("entidade") == entity) if self.one_entity else inside
+
     def read(
         self,
         fact: DataFrame,
@@ -65,15 +76,53 @@ class Slice:
         last: int | None = None,
     ) -> DataFrame:
         """Run the slice on a fact table; period and entity are parameters."""
-        low, high = first or self.first, last or self.last
-        if self.snapshot:
-            period = F.col(self.snapshot).between(low, high)
-        else:
-            period = months_between("vl_ano", "vl_mes", low, high)
-        if self.one_entity and entity is None:
-            raise ValueError(f"slice {self.name} needs the entity")
-        members = {"entidade": entity} if self.one_entity else {}
-        return cube_slice(fact, self.levels, measure, self.name, period, members)
+        return cube_slice(fact, self.levels, measure, self.name, self.rows(entity, first, last))
+
+
+@dataclass(frozen=True)
+class Reading:
+    """A slice as one pass over the cube reads it: measure, entity and period."""
+
+    slice: Slice
+    measure: str
+    entity: str | None = None
+    first: int | None = None
+    last: int | None = None
+
+    def rows(self) -> Column:
+        """Which rows of the cube are summed."""
+        return self.slice.rows(self.entity if self.slice.one_entity else None, self.first, self.last)
+
+
+def cube_slices(fact: DataFrame, readings: Mapping[str, Reading]) -> DataFrame:
+    """(fatia, all levels, valor): several slices from one scan of the cube.
+
+    The distinct level lists are the grouping sets; each reading's period and entity are
+    a condition inside its sum, so readings with the same levels share a set. Rows that no
+    reading wants are left out at the scan. Levels that a slice does not have are NULL,
+    and the slice's name tells them from levels that are missing in the cube.
+    """
+    levels = list(dict.fromkeys(c for r in readings.values() for c in r.slice.levels))
+    sets = list(dict.fromkeys(tuple(r.slice.levels) for r in readings.values()))
+    wanted = fact.filter(reduce(lambda a, b: a | b, [r.rows() for r in readings.values()]))
+    sums = [F.sum(F.when(r.rows(), F.col(r.measure))).alias(f"_soma_{k}") for k, r in enumerate(readings.values())]
+    grouped = wanted.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in levels])
+    found = grouped.agg(F.grouping_id().alias("_conjunto"), *sums)
+
+    def number(own: list[str]) -> int:
+        """The grouping id: one bit a level, set where the level is summed over."""
+        return sum((c not in own) << (len(levels) - 1 - k) for k, c in enumerate(levels))
+
+    values = []
+    for k, (name, r) in enumerate(readings.items()):
+        value = F.when(F.col("_conjunto") == number(r.slice.levels), F.col(f"_soma_{k}"))
+        values.append(F.struct(F.lit(name).alias("fatia"), value.alias("valor")))
+    return found.select(*levels, F.inline(F.array(*values))).filter(F.col("valor").isNotNull())
+
+
+def one_slice(found: DataFrame, name: str, slice_: Slice) -> DataFrame:
+    """One slice of ``cube_slices`` with the columns that reading it alone gives."""
+    return found.filter(F.col("fatia") == name).select(*slice_.levels, F.col("valor").alias(slice_.name))
 
 
 _PLAN = ["nm_ppa", "nm_unidade", "nm_iniciativa", "nm_acao"]

@@ -54,8 +54,26 @@ def test_collation_key(spark):
     df = spark.createDataFrame(
         [("INAUGURAÇÃO ", None), ("inauguracao", ""), ("Inauguração", "x")], "a string, b string"
     )
-    keys = values(df.select(text.collation_key("a", "b").alias("k")), "k")
-    assert keys == ["inauguracao", "inauguracao", "inauguracaox"]
+    keys = df.select(text.collation_key("a", "b").alias("k"))
+    assert sorted(r["n"] for r in keys.groupBy("k").agg(F.count("*").alias("n")).collect()) == [1, 2]
+    assert values(keys.select(text.spelled("k").alias("s")), "s") == ["INAUGURAÇÃO ", "inauguracao", "Inauguraçãox"]
+
+
+NAMES = ["Łódź", "ŐSZ", "Třinec", "STRASSE", "Ángel", "Σίσυφος", "Ёлка", "x y", ""]
+ALIKE = [("lodz ", "Łódź"), ("osz", "ŐSZ"), ("ösz", "ŐSZ"), ("TRINEC", "Třinec"), ("straße", "STRASSE"),
+         ("A\u0301NGEL", "Ángel"), ("σισυφοσ", "Σίσυφος"), ("елка", "Ёлка"), ("X Y  ", "x y"), ("  ", "")]
+
+
+@pytest.mark.parametrize("hint", ["broadcast", "merge", "shuffle_hash"])
+def test_collated_names_of_all_scripts_join(spark, hint):
+    left = spark.createDataFrame([(n,) for n, _ in ALIKE] + [("xy",), ("lodzi",)], "a string")
+    right = spark.createDataFrame([(n,) for n in NAMES], "b string")
+    joined = left.withColumn("k", text.collation_key("a")).join(
+        right.withColumn("k", text.collation_key("b")).hint(hint), "k"
+    )
+    assert sorted((r.a, r.b) for r in joined.collect()) == sorted(ALIKE)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "collationkey" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_in_years_covers_whole_months(spark):
