@@ -173,6 +173,18 @@ VIEWS = {
                case when o_orderkey%10=0 then '{quebrado' when o_orderkey%10=1 then null
                     else concat('{"kpis_gerais":{"total_linhas":',o_custkey,'}}') end as detalhes_json
         from orders""",
+    # Details of every kind that a trail may hold: whole, without statistics, of other types, broken, missing.
+    "fx_audit_full": """
+        select o_orderpriority as nome_processo, o_orderdate as data_execucao, o_orderkey as total_linhas,
+               cast(7 as int) as total_colunas, cast(0 as bigint) as total_nulos,
+               case when o_orderkey%13=0 then '{quebrado' when o_orderkey%13=1 then null when o_orderkey%13=2 then '[1,2]'
+                    when o_orderkey%13=3 then concat('{"kpis_gerais":{"total_linhas":"',o_custkey,'"},"estatisticas_numericas":7}')
+                    when o_orderkey%13=4 then concat('{"kpis_gerais":{"total_linhas":',o_custkey,',"soma_total":',o_custkey,'.25}}')
+                    else concat('{"kpis_gerais":{"total_linhas":',o_custkey,',"total_colunas":',o_orderkey%50,
+                                '},"qualidade_dados":{"total_nulos":',o_orderkey,
+                                '},"estatisticas_numericas":{"vl_ano":{"soma_total":',o_orderkey,'.5,"media":2,"maximo":',
+                                o_custkey,',"minimo":null},"id":{"soma_total":1e3}}}') end as detalhes_json
+        from orders""",
 }
 
 

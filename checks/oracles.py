@@ -182,6 +182,7 @@ _add(
 )
 _LEGS = {"mantidas": _KEPT, "pernas": _both("mantidas")}
 _add("ledger_legs", "select * exclude (natureza) from pernas", _LEGS)
+_add("ledger_legs_bucketed", "select * exclude (natureza) from pernas", _LEGS)
 _add(
     "national_code",
     """select lctref, idpartida, tipolancamento, conta, nacional
@@ -252,6 +253,11 @@ _DUE = f"datavencimento between date '{FIRST_DUE}' and date '{AS_OF}' and pagrec
 _KEPT_DEBTS = """codtdo not in ('030') and codcxa not like '22.420-0'
     and historico not ilike 'Dev. adiantamento  viagem' and descstatuslcto <> 'Cancelado'"""
 _add("receivables_base", f"select * exclude (pagrec) from titulos where {_DUE}", {"titulos": _JOINED})
+_add(
+    "receivables_bucketed",
+    f"select * exclude (pagrec) replace (cast(valorbrutoorig as decimal(18,2)) as valorbrutoorig) from titulos where {_DUE}",
+    {"titulos": _JOINED},
+)
 _add(
     "receivables_filters",
     f"select * exclude (pagrec) from titulos where {_DUE} and {_KEPT_DEBTS}",
@@ -421,7 +427,13 @@ _TOTALS = {
     "projetos": _totals(BY_PROJECT),
 }
 _add("recode_account", "select nm_conta, cdg_natorcamentonvl4, nm_descnvl4, vl_valor from recodificado", _RECODE_CTES)
+_add("recode_account_sql", "select nm_conta, cdg_natorcamentonvl4, nm_descnvl4, vl_valor from recodificado", _RECODE_CTES)
 _add("executed_fact", "select * from executado", {**_RECODE_CTES, "executado": _EXECUTED})
+_add(
+    "executed_in_wanted_years",
+    "select * replace (cast(vl_valor as decimal(38,8)) as vl_valor) from executado",
+    {**_RECODE_CTES, "executado": _EXECUTED},
+)
 _add("plan_actual_keys", "select * from chaves", _REPORT)
 _add(
     "plan_actual",
@@ -476,6 +488,30 @@ _add(
               total_colunas, total_nulos,
               case when detalhes_json like '{"kpis%' then detalhes_json else '{}' end as detalhes from fx_audit""",
 )
+_AUDITED = {
+    "lidos": """
+        select nome_processo, data_execucao, case when json_valid(detalhes_json) then detalhes_json::json else '{}'::json end as d
+        from fx_audit_full"""
+}
+_add(
+    "telemetry_metrics",
+    """select nome_processo, data_execucao, try_cast(d->>'$.kpis_gerais.total_linhas' as bigint) as linhas,
+              try_cast(d->>'$.kpis_gerais.total_colunas' as integer) as colunas,
+              try_cast(d->>'$.qualidade_dados.total_nulos' as bigint) as nulos,
+              try_cast(d->>'$.kpis_gerais.soma_total' as double) as soma_faixas from lidos""",
+    _AUDITED,
+)
+_add(
+    "telemetry_statistics",
+    "select nome_processo, data_execucao, c as coluna, "
+    + ", ".join(f"try_cast(d->'$.estatisticas_numericas'->c->>'{n}' as double) as {n}" for n in ("soma_total", "media", "maximo", "minimo"))
+    + " from (select *, unnest(json_keys(d, '$.estatisticas_numericas')) as c from lidos)",
+    _AUDITED,
+)
+_add(
+    "telemetry_schema",
+    "select distinct nome_processo, 'OBJECT<kpis_gerais: OBJECT<total_linhas: BIGINT>>' as esquema from fx_audit",
+)
 _MONTHS = " ".join(f"when {n} then '{t}'" for n, t in mappings.MONTH_NAMES.items())
 _add("units", "select distinct nm_unidade from mensal", _TOTALS)
 _add(
@@ -594,6 +630,7 @@ _NOW = {
 _SHOWN = "cdg_idlan, cdg_idmov, ano_venc, mes_venc"
 _add("delinq_base", f"select {_SHOWN}, vl_bruto, vl_valororiginal, vl_valorbaixado, cdg_codtmv from base", _BASE)
 _add("delinq_flags", f"select {_SHOWN}, is_inadimplente, status_simplificado from marcas", _FLAGS)
+_add("delinq_flags_sql", f"select {_SHOWN}, is_inadimplente, status_simplificado from marcas", _FLAGS)
 _add("delinq_flags_now", f"select {_SHOWN}, is_inadimplente, status_simplificado from marcas", _NOW)
 _COUNTS = {
     **_FLAGS,
@@ -689,6 +726,7 @@ def _timeline(value: str, kind: str) -> str:
 
 
 _add("cash_timeline", _timeline("sum(vl_valororiginal)", "decimal(38,8)"), _BASE)
+_add("cash_timeline_sql", _timeline("sum(vl_valororiginal)", "decimal(38,8)"), _BASE)
 _add("count_timeline", _timeline("count(cdg_idlan)", "bigint"), _BASE)
 
 

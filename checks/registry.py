@@ -23,7 +23,7 @@ from saldo.operators import (
     standardize,
     study,
 )
-from saldo.plans import datasets, reports
+from saldo.plans import datasets, reports, sqlrules
 from saldo.plans.refresh import refresh_all, standardized
 from saldo.session import ensure_checkpoint_dir, work_path
 from saldo.sources import cubes, funds, relational, tables
@@ -189,6 +189,21 @@ def _legs(spark, sf, accounts=None, allowlist=None):
     )
 
 
+def _buckets(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@_query
+def ledger_legs_bucketed(spark, sf):
+    """The legs with the movements stored in buckets of the key that journal lines name."""
+    keyed = ledger.with_movement_key(view(spark, sf, "fx_movement"))
+    stored = tables.store_bucketed(keyed, "movimentos por chave", ledger.MOVEMENT_KEY, _buckets(spark))
+    return ledger.ledger_legs(
+        view(spark, sf, "fx_journal"), view(spark, sf, "fx_allocation"), stored, view(spark, sf, "fx_counterparty"),
+        view(spark, sf, "fx_account"), first_year=OLD,
+    )
+
+
 @_query
 def ledger_filters(spark, sf):
     return ledger.ledger_filters(view(spark, sf, "fx_journal"), first_year=OLD).select(
@@ -281,6 +296,14 @@ def receivables_base(spark, sf):
     return receivables.with_movement(due, view(spark, sf, "fx_movement"))
 
 
+@_query
+def receivables_bucketed(spark, sf):
+    """The same join with the movements stored in buckets of their id."""
+    stored = tables.store_bucketed(view(spark, sf, "fx_movement"), "movimentos por id", "idmov", _buckets(spark))
+    due = receivables.due_between(view(spark, sf, "fx_instalment"), AS_OF, FIRST_DUE)
+    return receivables.with_movement(due, stored)
+
+
 @_query
 def receivables_filters(spark, sf):
     return receivables.receivables(
@@ -463,6 +486,22 @@ def executed_fact(spark, sf):
     return _executed(spark, sf)
 
 
+@_query
+def recode_account_sql(spark, sf):
+    return sqlrules.recode_account(view(spark, sf, "fx_fact"), mappings.recode_table(spark), _labels(spark))
+
+
+@_query
+def executed_in_wanted_years(spark, sf):
+    """The executed fact over a ledger stored by year; the budget's plans say which years are read."""
+    fact = view(spark, sf, "fx_fact").withColumn("ano", F.year("nm_data"))
+    tables.partitioned(fact, "fatos por ano", "ano")
+    wanted = planactual.wanted_years(view(spark, sf, "fx_plan"), list(PLANS.values()))
+    return planactual.executed_in(
+        tables.read_back(spark, "fatos por ano"), wanted, mappings.recode_table(spark), _labels(spark), LAST_MONTH
+    )
+
+
 @_query
 def plan_actual_keys(spark, sf):
     return planactual.plan_actual_keys(_planned(spark, sf), _executed(spark, sf))
@@ -515,6 +554,21 @@ def telemetry(spark, sf):
     return coverage.telemetry(view(spark, sf, "fx_audit"))
 
 
+@_query
+def telemetry_metrics(spark, sf):
+    return coverage.telemetry_metrics(view(spark, sf, "fx_audit_full"))
+
+
+@_query
+def telemetry_statistics(spark, sf):
+    return coverage.telemetry_statistics(view(spark, sf, "fx_audit_full"))
+
+
+@_query
+def telemetry_schema(spark, sf):
+    return coverage.telemetry_schema(view(spark, sf, "fx_audit"))
+
+
 @_query
 def units(spark, sf):
     return dashboard.units(_totals(spark, sf, planactual.BY_MONTH))
@@ -582,6 +636,16 @@ def delinq_flags(spark, sf):
     return _flags(spark, sf).select(*_SHOWN, "is_inadimplente", "status_simplificado")
 
 
+@_query
+def delinq_flags_sql(spark, sf):
+    return sqlrules.delinq_flags(_base(spark, sf), AS_OF, OLD).select(*_SHOWN, "is_inadimplente", "status_simplificado")
+
+
+@_query
+def cash_timeline_sql(spark, sf):
+    return sqlrules.cash_timeline(_base(spark, sf))
+
+
 @_query
 def delinq_flags_now(spark, sf):
     return _flags_now(spark, sf).select(*_SHOWN, "is_inadimplente", "status_simplificado")

@@ -55,6 +55,49 @@ def coverage(
     ).orderBy("unidade", "ano")
 
 
+#: Metric name to its path in the audit details and its type.
+METRIC_PATHS = {
+    "linhas": ("$.kpis_gerais.total_linhas", "bigint"),
+    "colunas": ("$.kpis_gerais.total_colunas", "int"),
+    "nulos": ("$.qualidade_dados.total_nulos", "bigint"),
+    "soma_faixas": ("$.kpis_gerais.soma_total", "double"),
+}
+STATISTIC_PATHS = ["soma_total", "media", "maximo", "minimo"]
+
+
+def parsed_details(audit: DataFrame) -> DataFrame:
+    """The audit rows with their details parsed, as a VARIANT column ``detalhes``.
+
+    Rows stored with the column keep it; others are parsed from their text. What is no JSON,
+    or is missing, becomes the empty object.
+    """
+    text = F.coalesce(F.try_parse_json("detalhes_json"), F.parse_json(F.lit("{}")))
+    found = F.coalesce("detalhes", text) if "detalhes" in audit.columns else text
+    return audit.withColumn("detalhes", found).drop("detalhes_json")
+
+
+def telemetry_metrics(audit: DataFrame) -> DataFrame:
+    """Each refresh with its metrics as typed columns; what the details lack, or hold in another type, is NULL."""
+    parsed = parsed_details(audit)
+    metrics = [F.try_variant_get("detalhes", path, kind).alias(name) for name, (path, kind) in METRIC_PATHS.items()]
+    return parsed.select("nome_processo", "data_execucao", *metrics)
+
+
+def telemetry_statistics(audit: DataFrame) -> DataFrame:
+    """(nome_processo, data_execucao, coluna, soma_total, media, maximo, minimo): the measured columns of each refresh."""
+    parsed = parsed_details(audit)
+    # looked up as an object, so that a text or a number there has no columns
+    columns = F.try_variant_get("detalhes", "$.estatisticas_numericas", "map<string,variant>")
+    each = parsed.select("nome_processo", "data_execucao", F.explode(columns).alias("coluna", "_valores"))
+    values = [F.try_variant_get("_valores", f"$.{name}", "double").alias(name) for name in STATISTIC_PATHS]
+    return each.select("nome_processo", "data_execucao", "coluna", *values)
+
+
+def telemetry_schema(audit: DataFrame) -> DataFrame:
+    """(nome_processo, esquema): the common schema of each dataset's details."""
+    return parsed_details(audit).groupBy("nome_processo").agg(F.schema_of_variant_agg("detalhes").alias("esquema"))
+
+
 def telemetry(audit: DataFrame) -> DataFrame:
     """Audit rows, newest first; details that are no JSON become ``{}``."""
     readable = F.try_parse_json("detalhes_json").isNotNull()

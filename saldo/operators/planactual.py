@@ -22,6 +22,8 @@ NATURE = "descricao_natureza_orcamentaria"
 BY_MONTH = ["nm_unidade", "vl_ano", "vl_mes"]
 BY_NATURE = ["nm_unidade", "vl_ano", NATURE]
 BY_PROJECT = ["nm_unidade", "nm_iniciativa", "vl_ano"]
+#: Pairs of year and plan that a report may ask for.
+MOST_PLAN_YEARS = 10_000
 # Names compare without case and trailing blanks; the smallest spelling is shown.
 NAMES = ["nm_iniciativa", "nm_acao", "nm_unidade", "nm_cc", "nm_descnvl4", NATURE]
 
@@ -73,19 +75,21 @@ def executed_fact(
     groups: list[str] = EXPENSE_GROUPS,
 ) -> DataFrame:
     """Executed amount by plan, unit, initiative, action, nature, cost centre and month."""
-    rows = fact.filter(
-        in_years("nm_data", list(plans), last_month) & folded_in("nm_descnvl1", groups)
-    )
-    year = F.year("nm_data")
-    rows = recode_account(rows, recodes, labels).select(
-        plan_label(year, plans).alias("nm_ppa"),
+    rows = fact.filter(in_years("nm_data", list(plans), last_month))
+    return _executed(rows.withColumn("nm_ppa", plan_label(F.year("nm_data"), plans)), recodes, labels, groups)
+
+
+def _executed(rows: DataFrame, recodes: DataFrame, labels: DataFrame, groups: list[str]) -> DataFrame:
+    """Amounts of rows that have their plan, by its keys."""
+    rows = recode_account(rows.filter(folded_in("nm_descnvl1", groups)), recodes, labels).select(
+        "nm_ppa",
         "nm_unidade",
         F.col("nm_projeto").alias("nm_iniciativa"),
         "nm_acao",
         "cdg_natorcamentonvl4",
         "nm_descnvl4",
         "nm_cc",
-        year.alias("vl_ano"),
+        F.year("nm_data").alias("vl_ano"),
         F.month("nm_data").alias("vl_mes"),
         "vl_valor",
     )
@@ -94,6 +98,31 @@ def executed_fact(
     return summed.select(*keys, "vl_valor")
 
 
+def wanted_years(budget: DataFrame, plans: list[str]) -> DataFrame:
+    """(ano, nm_ppa): the years that the wanted plans are about, as their budget rows say; few rows, checked."""
+    pairs = budget.filter(F.col("nm_ppa").isin(plans)).select(F.col("vl_ano").cast("int").alias("ano"), "nm_ppa").distinct()
+    if (n := pairs.count()) > MOST_PLAN_YEARS:
+        raise ValueError(f"{n} pairs of year and plan; at most {MOST_PLAN_YEARS} are broadcast")
+    return pairs
+
+
+def executed_in(
+    fact: DataFrame,
+    wanted: DataFrame,
+    recodes: DataFrame,
+    labels: DataFrame,
+    last_month: int = 3,
+    groups: list[str] = EXPENSE_GROUPS,
+) -> DataFrame:
+    """``executed_fact`` over a fact stored by year (``ano``), for the (ano, nm_ppa) of ``wanted``.
+
+    The years come from a table, not from the program: its pairs are broadcast and prune the
+    fact's partitions while the query runs, so years nobody asked for are not opened.
+    """
+    rows = fact.filter(F.month("nm_data") <= last_month).join(F.broadcast(wanted), "ano")
+    return _executed(rows, recodes, labels, groups)
+
+
 def _key_rows(planned: DataFrame, executed: DataFrame) -> DataFrame:
     return _grouped(planned.select(*KEYS).union(executed.select(*KEYS)), KEYS)
 
