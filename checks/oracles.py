@@ -369,6 +369,16 @@ _add(
     },
 )
 
+_add(
+    "standardized_datasets",
+    """select 'titulos' as dataset, id, cast(v as decimal(38,8)) as vl_valor, cast(null as integer) as vl_ano,
+              (select count(*) from fx_text_amount) as linhas, cast(0 as bigint) as nulos
+       from (select *, coalesce(try_cast(replace(replace(valor_str,'.',''),',','.') as decimal(28,8)),0) as v from fx_text_amount)
+       union all
+       select 'periodos', id, null, case when id%5=0 or id%7=0 then 0 else cast(left(vl_ano,4) as integer) end,
+              (select count(*) from fx_period), 0 from fx_period""",
+)
+
 # --- plan against actual -----------------------------------------------------
 
 _CODES = _values(list(mappings.ACCOUNT_RECODES.items()), "prefixo, natureza")

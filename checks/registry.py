@@ -24,7 +24,7 @@ from saldo.operators import (
     study,
 )
 from saldo.plans import datasets, reports, sqlrules
-from saldo.plans.refresh import refresh_all, standardized
+from saldo.plans.refresh import checked, refresh_all, standardized
 from saldo.session import ensure_checkpoint_dir, work_path
 from saldo.sources import cubes, funds, relational, tables
 
@@ -100,7 +100,8 @@ def fund_doc_select(spark, sf):
 def fund_doc_wanted(spark, sf):
     found = _documents(spark, sf)
     wanted = found.filter((F.col("id") % 6 == 0)).select("fundo", "data_referencia")
-    wanted = wanted.unionByName(wanted.limit(1).select(F.lit("nenhum").alias("fundo"), "data_referencia"))
+    nobody = spark.range(1).select(F.lit("nenhum").alias("fundo"), F.lit("01/2000").alias("data_referencia"))
+    wanted = wanted.unionByName(nobody)
     required = found.filter(F.col("id") % 10 == 0).select("fundo", "data_referencia")
     optional = funds.select_fund_documents(found, wanted).withColumn("lista", F.lit("opcional"))
     return optional.unionByName(
@@ -452,6 +453,29 @@ def refresh_dataset(spark, sf):
     return stored
 
 
+@_query
+def standardized_datasets(spark, sf):
+    """Rows of two datasets extracted and standardised without a load; one is empty, one fails, one fails late."""
+    every = {
+        "titulos": lambda: view(spark, sf, "fx_text_amount"),
+        "periodos": lambda: view(spark, sf, "fx_period"),
+        "vazio": lambda: view(spark, sf, "fx_period").filter("id < 0"),
+        "quebrado": lambda: view(spark, sf, "fx_period").select("inexistente"),
+        "tarde": lambda: view(spark, sf, "fx_period").withColumn("x", F.raise_error(F.lit("linha"))),
+        "fora": lambda: view(spark, sf, "fx_plan"),
+    }
+    ready = checked(every, ["Titulos", "PERIODOS", "vazio", "quebrado", "tarde"])
+    found = None
+    for name, (table, metrics) in ready.items():
+        shown = table.select(
+            F.lit(name).alias("dataset"), F.col(table.columns[0]).cast("bigint").alias("id"),
+            *[F.col(c) if c in table.columns else F.lit(None).cast(t).alias(c) for c, t in (("vl_valor", "decimal(38,8)"), ("vl_ano", "int"))],
+            F.lit(metrics["total_linhas"]).cast("bigint").alias("linhas"), F.lit(metrics["total_nulos"]).cast("bigint").alias("nulos"),
+        )
+        found = shown if found is None else found.unionByName(shown)
+    return found
+
+
 # --- plan against actual -----------------------------------------------------
 
 

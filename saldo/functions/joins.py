@@ -12,6 +12,8 @@ from saldo.session import ensure_checkpoint_dir
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 200_000
 ROWS_PER_TASK = 2_000_000
+#: Bytes in memory for a byte of a plan's estimate, which for a scan is the size of compressed files.
+EXPANSION = 8
 
 
 def _planned_bytes(df: DataFrame) -> int | None:
@@ -22,19 +24,25 @@ def _planned_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _surely_small(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the plan's estimate alone proves that a table is within the limit."""
+    planned = _planned_bytes(df)
+    return planned is not None and planned * EXPANSION <= max_bytes
+
+
 def small_copy(
     df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame | None:
     """A table proven small enough to ship to every executor, else None.
 
-    A plan estimate within the limit is proof enough. An estimate may be far too
-    high, so a table above it is computed up to one row over the row limit, kept
-    as a checkpoint and measured: if it ends before the limit and its rows as text
-    are within the byte limit, the copy is the whole table and the join reads it
-    instead of computing it again.
+    A plan estimate that is within the limit when unpacked ``EXPANSION`` times is proof
+    enough. An estimate may be far too high, or the size of files that unpack to much
+    more, so any other table is computed up to one row over the row limit, kept as a
+    checkpoint and measured: if it ends before the limit and its rows as text are within
+    the byte limit, the copy is the whole table and the join reads it instead of
+    computing it again.
     """
-    planned = _planned_bytes(df)
-    if planned is not None and planned <= max_bytes:
+    if _surely_small(df, max_bytes):
         return df
     ensure_checkpoint_dir(df.sparkSession)
     start = df.limit(max_rows + 1).checkpoint()
@@ -96,7 +104,7 @@ def skewed_left_join(
 ) -> DataFrame:
     """Left join for two large tables whose hot keys may sit on either side.
 
-    A right side under the broadcast limit is broadcast; keys do not matter then.
+    A right side surely under the broadcast limit is broadcast; keys do not matter then.
     Hot keys of the left side are split by AQE. It cannot split the right side of
     a left join, so the rows of a key that is hot there are dealt into slots and
     the left rows of that key are copied once per slot. Copies that meet no row are
@@ -118,8 +126,7 @@ def skewed_left_join(
             [one[a].eqNullSafe(two[b]) if safe else one[a] == two[b] for a, b in zip(ours, others)],
         )
 
-    planned = _planned_bytes(right)
-    if planned is not None and planned <= max_bytes:
+    if _surely_small(right, max_bytes):
         return left.join(F.broadcast(right), same(left, right, list(keys), theirs, null_safe), "left")
     if unique:
         return left.join(right, same(left, right, list(keys), theirs, null_safe), "left")

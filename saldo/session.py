@@ -34,6 +34,12 @@ def build_session(master: str | None = None, app: str = "saldo", **settings: str
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks are one process; ``local-cluster`` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and work tables, as named by the session.
 
@@ -45,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     chosen = configured or spark.sparkContext.getCheckpointDir()
     if chosen:
         return chosen.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
     own = tempfile.mkdtemp(prefix="saldo-")
     spark.sparkContext.setCheckpointDir(own)
@@ -71,8 +77,7 @@ def tables_dir(spark: SparkSession) -> str:
     session without the setting gets a folder of its own.
     """
     chosen = spark.conf.get(TABLES_SETTING, None)
-    master = spark.sparkContext.master
-    if chosen is None and (master == "local" or master.startswith("local[")):
+    if chosen is None and is_local(spark):
         chosen = tempfile.mkdtemp(prefix="saldo-tables-")
         spark.conf.set(TABLES_SETTING, chosen)
     return (chosen or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.functions.joins import lookup_join
@@ -24,6 +24,12 @@ VALUE_CLASS = "dado-valores"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def read_wanted(spark: SparkSession, path: str) -> DataFrame:
+    """The wanted (fundo, data_referencia) of a JSON document, one object or a list of them."""
+    found = spark.read.json(path, multiLine=True, schema="cnpj_fundo string, data_referencia string", mode="FAILFAST")
+    return found.select(F.col("cnpj_fundo").alias("fundo"), "data_referencia").distinct()
+
+
 def select_fund_documents(
     documents: DataFrame, wanted: DataFrame | None = None, required: bool = False
 ) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from checks import registry
 from checks.fixtures import AS_OF, FIRST_DUE, LAST_MONTH, OLD, PLANS, view
+from saldo.functions import joins
 from saldo.operators import coverage, delinquency, ledger, mappings, planactual, receivables
 from saldo.plans import sqlrules
-from saldo.plans.refresh import refresh_all
-from saldo.sources import relational, tables
+from saldo.plans.refresh import checked, refresh_all
+from saldo.sources import funds, relational, tables
 
 
 def ordered(df):
@@ -219,6 +220,59 @@ def test_a_script_without_a_result_is_an_empty_table(spark, caplog):
     assert got.columns == [] and got.count() == 0 and "no SELECT" in caplog.text
 
 
+# --- extracted without a load, stored parameters, sizes ----------------------
+
+
+def test_checked_datasets_were_computed_whole(spark):
+    good = spark.createDataFrame([(1, "1.234,5"), (2, None)], "id int, vl_valor string")
+    every = {
+        "a": lambda: good, "empty": lambda: good.limit(0), "broken": lambda: good.select("x"),
+        "late": lambda: good.withColumn("y", F.when(F.col("id") == 2, F.raise_error(F.lit("row"))).otherwise(F.lit("z"))),
+    }
+    ready = checked(every)
+    assert list(ready) == ["a"]
+    table, metrics = ready["a"]
+    assert metrics["total_linhas"] == table.count() == 2 and sorted(float(r.vl_valor) for r in table.collect()) == [0.0, 1234.5]
+    assert list(checked(every, ["A", "late"])) == ["a"] and checked({}) == {}
+
+
+def test_fund_parameters_come_from_a_document(spark, tmp_path):
+    one, many, bad = (str(tmp_path / n) for n in ("one.json", "many.json", "bad.json"))
+    fund = {"cnpj_fundo": "001", "data_referencia": "09/2025"}
+    for place, content in ((one, json.dumps(fund, indent=4)), (many, json.dumps([fund, fund, {**fund, "cnpj_fundo": "002"}])), (bad, "{")):
+        with open(place, "w") as out:
+            out.write(content)
+    assert ordered(funds.read_wanted(spark, one)) == [("001", "09/2025")]
+    assert ordered(funds.read_wanted(spark, many)) == [("001", "09/2025"), ("002", "09/2025")]
+    documents = spark.createDataFrame(
+        [(k, f, mappings.FUND_REPORT_TYPE, "09/2025", "") for k, f in enumerate(["001", "002", "003"])],
+        "id int, fundo string, tipo_documento string, data_referencia string, content string",
+    )
+    assert [r.fundo for r in funds.select_fund_documents(documents, funds.read_wanted(spark, one)).collect()] == ["001"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        funds.read_wanted(spark, bad).collect()
+
+
+def test_files_that_unpack_to_much_are_measured(spark, tmp_path):
+    """A table whose files are within the limit, and whose rows are not, is not broadcast."""
+    place = str(tmp_path / "t")
+    spark.range(3000).select("id", F.repeat(F.lit("x"), 2000).alias("v")).coalesce(1).write.parquet(place)
+    stored = spark.read.parquet(place)
+    limit = 100_000
+    assert sum(os.path.getsize(f"{place}/{f}") for f in os.listdir(place)) < limit
+    assert joins.small_copy(stored, max_bytes=limit) is None
+
+
+def test_only_one_process_gets_a_folder_of_its_own():
+    from types import SimpleNamespace
+
+    from saldo.session import is_local
+
+    masters = {"local": True, "local[4]": True, "local[*]": True, "local-cluster[3,2,1024]": False, "yarn": False, "spark://h:7077": False}
+    for master, own in masters.items():
+        assert is_local(SimpleNamespace(sparkContext=SimpleNamespace(master=master))) == own
+
+
 # --- rules as SQL functions --------------------------------------------------
 
 
