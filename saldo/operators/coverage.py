@@ -20,7 +20,7 @@ def coverage(
 ) -> DataFrame:
     """Expense, revenue, net result and coverage percent by unit and year.
 
-    One scan and one shuffle: a row counts as expense, revenue, both or
+    One scan, and one shuffle of sums by spelling: a row counts as expense, revenue, both or
     neither. Units compare without case and trailing blanks and show their
     smallest spelling. Rows without a unit keep expense and revenue apart, since a
     missing unit never equals another.
@@ -37,7 +37,9 @@ def coverage(
     )
     apart = F.when(F.col("nm_unidade").isNull(), F.col("tipo"))
     zero = F.lit(0).cast(REPORT_MONEY)
-    sums = kinds.groupBy(fold_case("nm_unidade").alias("_unidade"), "ano", apart.alias("_tipo")).agg(
+    # by spelling first: looking for the smallest one makes Spark sort what it groups
+    spelt = kinds.groupBy("nm_unidade", "ano", "tipo").agg(F.sum("valor").alias("valor"))
+    sums = spelt.groupBy(fold_case("nm_unidade").alias("_unidade"), "ano", apart.alias("_tipo")).agg(
         F.min("nm_unidade").alias("nm_unidade"),
         F.coalesce(F.sum(F.when(F.col("tipo") == "D", F.col("valor"))), zero).alias("despesa"),
         F.coalesce(F.sum(F.when(F.col("tipo") == "R", F.col("valor"))), zero).alias("receita"),

@@ -33,10 +33,16 @@ def _compared(key: str, mark: str = "_por_") -> Column:
     return (fold_case(key) if key in NAMES else F.col(key)).alias(mark + key)
 
 
-def _grouped(df: DataFrame, keys: list[str], *values: Column) -> DataFrame:
-    """Groups by the compared form of the keys, each shown in its smallest spelling; forms stay as ``_por_*``."""
+def _grouped(df: DataFrame, keys: list[str], *sums: str) -> DataFrame:
+    """Groups by the compared form of the keys, each shown in its smallest spelling; forms stay as ``_por_*``.
+
+    Rows are first summed by the spellings as they are, in hash tables. The smallest spelling,
+    for which Spark has to sort, is then looked for among those few sums only.
+    """
+    spelt = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]) if sums else df.select(*keys).distinct()
     shown = [F.min(k).alias(k) for k in keys]
-    return df.groupBy(*[_compared(k) for k in keys]).agg(*shown, *values)
+    whole = [F.sum(c).cast(spelt.schema[c].dataType).alias(c) for c in sums]
+    return spelt.groupBy(*[_compared(k) for k in keys]).agg(*shown, *whole)
 
 
 def recode_account(fact: DataFrame, recodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -94,7 +100,7 @@ def _executed(rows: DataFrame, recodes: DataFrame, labels: DataFrame, groups: li
         "vl_valor",
     )
     keys = [c for c in rows.columns if c != "vl_valor"]
-    summed = _grouped(rows, keys, F.sum("vl_valor").alias("vl_valor"))
+    summed = _grouped(rows, keys, "vl_valor")
     return summed.select(*keys, "vl_valor")
 
 
@@ -193,8 +199,7 @@ def plan_actual_lines(planned: DataFrame, executed: DataFrame, strict: bool = Fa
 def totals(lines: DataFrame, by: list[str]) -> DataFrame:
     """``planejado`` and ``executado`` summed by ``by``, without groups that have a NULL key."""
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
-    sums = [F.sum(c).alias(c) for c in ("planejado", "executado")]
-    return _grouped(lines.filter(present), by, *sums).select(*by, "planejado", "executado")
+    return _grouped(lines.filter(present), by, "planejado", "executado").select(*by, "planejado", "executado")
 
 
 def plan_actual_nested(project_totals: DataFrame) -> DataFrame:
