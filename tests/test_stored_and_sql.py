@@ -273,6 +273,21 @@ def test_only_one_process_gets_a_folder_of_its_own():
         assert is_local(SimpleNamespace(sparkContext=SimpleNamespace(master=master))) == own
 
 
+def test_of_refreshes_at_once_the_later_one_counts(spark):
+    """Both ask for a version before either is published; names in any order."""
+    import time
+
+    first, second = sorted((tables.new_version(spark, "zugleich") for _ in range(2)), reverse=True)
+    spark.range(1).write.parquet(first)
+    spark.range(2).write.parquet(second)
+    tables.publish(spark, "zugleich", first)
+    assert tables.read_back(spark, "zugleich").count() == 1
+    time.sleep(1.1)
+    tables.publish(spark, "zugleich", second)
+    assert tables.read_back(spark, "zugleich").count() == 2
+    assert tables.retain(spark, "zugleich", keep=1) and tables.read_back(spark, "zugleich").count() == 2
+
+
 # --- rules as SQL functions --------------------------------------------------
 
 
