@@ -18,8 +18,8 @@ sentences train the machine in the space spanned by the landmarks. As the kernel
 has explicit features, the trained machine is one weight for each subsequence of
 the landmarks, and scoring a word does not depend on how many landmarks there are.
 
-A document's score is a logistic function of its largest margins and of how many
-words lie beyond the border, fitted to the labels of the sample.
+A document's score is a logistic function of its largest margins, of how many words lie
+beyond the border and of how many it has, fitted to the labels of the sample.
 
 Texts are not split into sentences: the machine is trained on and compares single words,
 so toxicity carried by several ordinary words is not learned.
@@ -45,11 +45,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.llm.shared import held, share
 from saldo.llm.textarrays import BASE, chunks, code_points, mix
+from saldo.session import ensure_checkpoint_dir
 
 TRAIN_DOCS, MAX_CANDIDATES, MAX_CLEAN, LANDMARKS = 4000, 4000, 12_000, 256
 ORDER, SPAN, DECAY, SYMBOLS, LONGEST, THRESHOLD = 4, 6, 0.5, 47, 40, 0.7
 CHUNK = 1_000_000
+SUMMARY = ["largest", "second", "beyond", "words"]
 #: Smoothed document rate of a candidate in toxic documents over that in clean ones.
 LEAST_RATIO = 4.0
 #: Offsets of the places of a subsequence from its first one, and its weight.
@@ -179,9 +182,13 @@ class Machine:
         return total / NORMS[last - first + 1] + self.bias
 
     def summaries(self, texts: list[str]) -> np.ndarray:
-        """For each text the largest margin, the second largest and log(1 + words beyond the border)."""
+        """For each text the largest margin, the second largest, log(1 + words beyond the border), log(1 + words).
+
+        The last one is there because the largest of many margins is large by chance: in a
+        long text the same margin says less.
+        """
         found = TextWords(texts, self.tables()[0])
-        out = np.zeros((len(texts), 3))
+        out = np.zeros((len(texts), 4))
         out[:, :2] = -2.0
         if len(found.word):
             margin = self.margins(found.letters, found.starts, found.ends)[found.word]
@@ -194,7 +201,10 @@ class Machine:
             second = second[doc[second] == doc[second - 1]]
             out[doc[second], 1] = margin[second]
             out[:, 2] = np.log1p(np.bincount(doc[margin > 0], minlength=len(texts)))
-        return np.clip(out, -2.0, 8.0)
+        out = np.clip(out, -2.0, 8.0)
+        if len(found.word):
+            out[:, 3] = np.log1p(np.bincount(doc, minlength=len(texts)))
+        return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.calibration is None:
@@ -343,8 +353,10 @@ def word_rows(texts: DataFrame, table_of=fold_table) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Machine | None:
     """The machine learned from labelled rows; None if only one label occurs."""
-    texts = sample(docs, labels, train_docs).withColumn("toxic", F.col("toxic").cast("int"))
-    rows = word_rows(texts).distinct()
+    ensure_checkpoint_dir(docs.sparkSession)
+    # a bounded sample that everything below reads again and again
+    texts = sample(docs, labels, train_docs).withColumn("toxic", F.col("toxic").cast("int")).checkpoint()
+    rows = word_rows(texts).distinct().checkpoint()
     counted = rows.groupBy("word").agg(
         F.sum("toxic").alias("n_toxic"), F.sum(1 - F.col("toxic")).alias("n_clean"),
         F.slice(F.array_sort(F.collect_set(F.when(F.col("toxic") == 1, F.col("doc")))), 1, train_docs).alias("docs"),
@@ -363,32 +375,33 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mac
         return None
     size = {r["word"]: r["n_toxic"] for r in hinted}
     machine = train_machine({w: float(np.log1p(size[w])) for w in positive}, clean)
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = share(docs.sparkSession.sparkContext, machine)
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in chunks(batch["text"].tolist(), CHUNK):
                 part = batch.iloc[a:b]
-                found = shared.value.summaries(part["text"].tolist())
-                yield pd.DataFrame({"toxic": part["toxic"], "a": found[:, 0], "b": found[:, 1], "c": found[:, 2]})
+                found = held(shared).summaries(part["text"].tolist())
+                yield pd.DataFrame({"toxic": part["toxic"]} | {c: found[:, k] for k, c in enumerate(SUMMARY)})
 
-    known = texts.mapInPandas(summarise, "toxic int, a double, b double, c double").toPandas().sort_values(["toxic", "a", "b", "c"])
-    machine.calibration = logistic(known[["a", "b", "c"]].to_numpy(), known["toxic"].to_numpy().astype(float))
+    schema = ", ".join(["toxic int", *[f"{c} double" for c in SUMMARY]])
+    known = texts.mapInPandas(summarise, schema).toPandas().sort_values(["toxic", *SUMMARY])
+    machine.calibration = logistic(known[SUMMARY].to_numpy(), known["toxic"].to_numpy().astype(float))
     machine._tables = None
     return machine
 
 
 def score(docs: DataFrame, machine: Machine | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score, predicted) of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = share(docs.sparkSession.sparkContext, machine)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             found = np.zeros(len(texts))
             for a, b in chunks(texts, CHUNK):
-                if shared.value is not None:
-                    found[a:b] = shared.value.scores(texts[a:b])
+                if held(shared) is not None:
+                    found[a:b] = held(shared).scores(texts[a:b])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": found, "predicted": (found >= THRESHOLD).astype("int32")})
 
     kind = dict(docs.dtypes)[doc_id]
