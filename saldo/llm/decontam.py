@@ -26,24 +26,26 @@ piece, which grows with the number of short items.
 
 The items go to the tasks in blocks of at most ``BLOCK_BYTES`` of text, one pass
 over the documents for each block, so what is broadcast has a bound for any
-benchmark. Documents are never shuffled; only matches are.
+benchmark: about ten times that. Documents are never shuffled; only matches are.
 
 Defined results: one row for each (document, item) that match, with the smallest
 distance; null texts and texts without words match nothing, nor do items without
-words; repeated items with one id count as one.
+words; repeated items with one id count as one, and of several texts under one id the
+nearest counts; documents without id are one, of which the nearest counts.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.llm.shared import held, share
 from saldo.llm.textarrays import BASE, Words, chunks, mix
 
 STRIDE, SEEDS, SAMPLES, POSITIONS = 4, 6, 5, 5
@@ -158,11 +160,16 @@ class ShortItem:
 
 
 class ItemIndex:
-    """LSH tables of one block of items: for each walk, rung and sample the keys of all indexed windows."""
+    """LSH tables of one block of items: for each walk, rung and sample the keys of all indexed windows.
 
-    def __init__(self, items: dict[object, str]):
-        self.ids = list(items)
-        self.words = [word_list(items[i]) for i in self.ids]
+    A table has two bytes of presence bits, half a key and a number for each window, in all
+    about ten bytes for each byte of the items; the windows' items and offsets are kept once.
+    """
+
+    def __init__(self, items: Iterable[tuple[object, str]]):
+        pairs = list(items)
+        self.ids = [i for i, _ in pairs]
+        self.words = [word_list(text) for _, text in pairs]
         self.text = [" ".join(w) for w in self.words]
         found = Words([" ".join(w) for w in self.words])
         place = []  # (rung, start in hashes, item, offset)
@@ -177,19 +184,24 @@ class ItemIndex:
                     place.append((rung, int(found.first[k]) + offset, k, offset))
         self.rungs = sorted({p[0] for p in place})
         hashes = np.append(found.hashes, np.zeros(2 * max(LADDER), dtype=np.uint64))
-        self.tables = {}
+        self.tables, self.windows = {}, {}
         for rung in self.rungs:
             chosen = [p for p in place if p[0] == rung]
             starts = np.array([p[1] for p in chosen], dtype=np.int64)
-            who = np.array([p[2] for p in chosen])
-            offset = np.array([p[3] for p in chosen])
+            self.windows[rung] = np.array([p[2:] for p in chosen], dtype=np.int32)  # item, offset in it
+            bits = max(10, math.ceil(math.log2(16 * len(chosen))))
             for seed in range(SEEDS):
                 for r, q, key in walk_keys(hashes, starts, seed, [rung]):
-                    order = np.argsort(key, kind="stable")
-                    bits = max(10, math.ceil(math.log2(64 * len(key))))
-                    present = np.zeros(1 << bits, dtype=bool)
-                    present[(key >> np.uint64(64 - bits)).astype(np.int64)] = True
-                    self.tables[seed, r, q] = present, np.uint64(64 - bits), key[order], who[order], offset[order]
+                    order = np.argsort(key, kind="stable").astype(np.int32)
+                    high = (key >> np.uint64(64 - bits)).astype(np.int64)
+                    present = np.zeros(1 << (bits - 3), dtype=np.uint8)
+                    np.bitwise_or.at(present, high >> 3, (1 << (high & 7)).astype(np.uint8))
+                    self.tables[seed, r, q] = present, np.uint64(64 - bits), (key[order] >> np.uint64(32)).astype(np.uint32), order
+
+    def nbytes(self) -> int:
+        """Bytes of the tables."""
+        arrays = [x for t in self.tables.values() for x in (t[0], t[2], t[3])] + list(self.windows.values())
+        return sum(a.nbytes for a in arrays)
 
     def candidates(self, found: Words) -> np.ndarray:
         """Distinct (text, item, first word of the item in the text, counted in the batch), one a row."""
@@ -202,14 +214,16 @@ class ItemIndex:
         hits = []
         for seed in range(SEEDS):
             for rung, q, key in walk_keys(hashes, starts, seed, self.rungs):
-                present, shift, known, who, offset = self.tables[seed, rung, q]
-                maybe = np.flatnonzero(present[(key >> shift).astype(np.int64)])
+                present, shift, known, order = self.tables[seed, rung, q]
+                high = (key >> shift).astype(np.int64)
+                maybe = np.flatnonzero((present[high >> 3] >> (high & 7).astype(np.uint8)) & 1)
                 if len(maybe):
-                    low = np.searchsorted(known, key[maybe], "left")
-                    count = np.searchsorted(known, key[maybe], "right") - low
+                    short = (key[maybe] >> np.uint64(32)).astype(np.uint32)
+                    low = np.searchsorted(known, short, "left")
+                    count = np.searchsorted(known, short, "right") - low
                     entry = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    at = np.repeat(maybe, count)
-                    hits.append(np.stack((doc[at], who[entry], starts[at] - offset[entry]), axis=1))
+                    at, window = np.repeat(maybe, count), self.windows[rung][order[entry]]
+                    hits.append(np.stack((doc[at], window[:, 0], starts[at] - window[:, 1]), axis=1))
         return np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 3), dtype=np.int64)
 
     def matches(self, texts: list[str], max_edits: float) -> list[tuple[int, object, int]]:
@@ -243,14 +257,13 @@ class ItemIndex:
         return [(d, self.ids[k], distance) for (d, k), distance in best.items()]
 
 
-def _blocks(items: DataFrame) -> Iterator[dict[object, str]]:
-    """The items in blocks of bounded size, by a hash of the id."""
+def _blocks(items: DataFrame) -> Iterator[list[tuple[object, str]]]:
+    """The items in blocks of bounded size, by a hash."""
     size = items.agg(F.sum(F.octet_length("text") + 64).alias("b")).first()["b"] or 0
     n = -(-size // BLOCK_BYTES)
     for k in range(n):
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
-        block = {r["item_id"]: r["text"] for r in part.collect()}
-        yield {i: t for i, t in block.items() if t.split()}
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        yield [(r["item_id"], r["text"]) for r in part.collect() if r["text"].split()]
 
 
 def matches(
@@ -259,20 +272,19 @@ def matches(
 ) -> DataFrame:
     """(doc_id, item_id, distance) of every document and item that match."""
     spark = docs.sparkSession
-    known = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).dropna()
-    known = known.groupBy("item_id").agg(F.min("text").alias("text"))
+    known = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).dropna().distinct()
     kinds = dict(docs.dtypes)[doc_id], dict(items.dtypes)[item_id]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int"
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = None
     for block in _blocks(known):
-        shared = spark.sparkContext.broadcast(ItemIndex(block))
+        shared = share(spark.sparkContext, ItemIndex(block))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 texts = [t if isinstance(t, str) else "" for t in batch["text"]]
                 for a, b in chunks(texts, CHUNK):
-                    hits = shared.value.matches(texts[a:b], max_edits)
+                    hits = held(shared).matches(texts[a:b], max_edits)
                     if hits:
                         rows, ids, distances = zip(*hits)
                         yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b].iloc[list(rows)].to_numpy(), "item_id": list(ids), "distance": list(distances)})
