@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from saldo.session import ensure_checkpoint_dir
 
-MAX_RATE, PRIOR_WEIGHT = 0.5, 10.0
+MAX_RATE, PRIOR_WEIGHT, BROADCAST_BYTES = 0.5, 10.0, 32 * 1024 * 1024
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -119,7 +119,10 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
     """
     ensure_checkpoint_dir(docs.sparkSession)
     measured = measure(docs, doc_id, text, host).checkpoint()
-    verdicts = host_verdicts(measured).select("host", "worst_rate", "host_rejected")
+    verdicts = host_verdicts(measured).select("host", "worst_rate", "host_rejected").checkpoint()
+    # one row a host: broadcast where they are few, so that a hot host is no hot task
+    size = verdicts.agg(F.sum(F.octet_length("host") + 64).alias("b")).first()["b"] or 0
+    verdicts = F.broadcast(verdicts) if size <= BROADCAST_BYTES else verdicts
     failed = rules()["base"].alias("base_failed")
     joined = measured.join(verdicts, "host", "left").select("doc_id", *COUNTS, failed, "worst_rate", "host_rejected")
     kept = ~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))
