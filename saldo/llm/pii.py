@@ -260,7 +260,9 @@ def redrawn(entities: DataFrame, key: str) -> DataFrame | None:
     form, keeps it.
     """
     ensure_checkpoint_dir(entities.sparkSession)
-    distinct = entities.distinct()
+    # a row takes a while, so rows are spread by number and not by bytes, which are few
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = entities.distinct().repartition(parts, "kind", "form")
     open_ = distinct.withColumn("new", surrogate(F.col("form"), F.col("kind"), key, F.lit(0))).checkpoint()
     taken = open_.select(F.col("kind").alias("k"), F.col("form").alias("taken"))
     settled, attempt = None, 0
