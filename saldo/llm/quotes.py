@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from saldo.session import ensure_checkpoint_dir
 
 MIN_LINE = 40
+#: A passage is known by two hashes of its normalised text and the text's length.
+PASSAGE = ["h", "m", "n"]
 # Ends of lines that announce a quotation.
 ANNOUNCES = r"(?i)(wrote|schrieb|écrit|a écrit|escribió|ha scritto|escreveu)\s?:\s*$"
 MARKS = r"^\s{0,3}((?:>\s?)+)"
@@ -85,26 +87,29 @@ def _units(content: Column, level: Column) -> Column:
 
 def link(messages: DataFrame, thread: str, place: str, text: str) -> DataFrame:
     """(thread, place, parent_thread, parent_place): one row for each message known by thread and place."""
+    ensure_checkpoint_dir(messages.sparkSession)
     parsed = messages.filter(F.col(thread).isNotNull() & F.col(place).isNotNull()).select(
         F.col(thread).alias("thread"), F.col(place).alias("place"), parse(F.col(text)).alias("lines")
     )
     own = F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["content"])
     quoted = F.flatten(F.transform(_passages(F.col("lines")), lambda x: _units(x["content"], x["level"])))
     units = parsed.select("thread", "place", F.explode(F.concat(_units(own, F.lit(0)), quoted)).alias("u")).select(
-        "thread", "place", "u.level", "u.part", F.xxhash64("u.t").alias("h"), F.length("u.t").alias("n")
+        "thread", "place", "u.level", "u.part", F.xxhash64("u.t").alias("h"), F.hash("u.t").alias("m"), F.length("u.t").alias("n")
     )
-    held = units.filter("level = 0").groupBy("thread", "h", "n").agg(F.min("place").alias("at"))
-    anywhere = held.groupBy("h", "n").agg(F.min(F.struct("at", "thread")).alias("first")).select(
-        "h", "n", F.col("first.at").alias("any_at"), F.col("first.thread").alias("any_thread")
+    # narrow, and read three times: messages are parsed once for them
+    units = units.checkpoint()
+    held = units.filter("level = 0").groupBy("thread", *PASSAGE).agg(F.min("place").alias("at"))
+    anywhere = held.groupBy(*PASSAGE).agg(F.min(F.struct("at", "thread")).alias("first")).select(
+        *PASSAGE, F.col("first.at").alias("any_at"), F.col("first.thread").alias("any_thread")
     )
     asked = units.filter("level > 0").distinct()
-    near = asked.join(held, ["thread", "h", "n"], "left").withColumn("at", F.when(F.col("at") < F.col("place"), F.col("at")))
+    near = asked.join(held, ["thread", *PASSAGE], "left").withColumn("at", F.when(F.col("at") < F.col("place"), F.col("at")))
     inside = near.filter(F.col("at").isNotNull()).select(
         "thread", "place", F.struct("level", F.lit(0).alias("far"), "part", "at", F.col("thread").alias("by")).alias("best")
     )
     outside = (
         near.filter(F.col("at").isNull())
-        .join(anywhere, ["h", "n"])
+        .join(anywhere, PASSAGE)
         .filter(F.struct("any_at", "any_thread") < F.struct("place", "thread"))
         .select(
             "thread", "place",
