@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from saldo.session import ensure_checkpoint_dir, work_path
 
 FRAME_BYTES, MIN_PAYLOAD, LEVEL, RECORD_DATE = 256 * 1024, 100, 3, "1970-01-01T00:00:00Z"
+BROADCAST_BYTES = 32 * 1024 * 1024
 # Fixed values of the seekable format: skippable frame, its descriptor, footer magic.
 SKIPPABLE_MAGIC, DESCRIPTOR, SEEKABLE_MAGIC = 0x184D2A5E, 0, 0x8F92EAB1
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,8 +50,10 @@ def record_types(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     """(page_id, url, payload, payload_digest, refers_to): refers_to is null for responses.
 
     Only digests and ids are grouped. The join back has one row a group on its
-    right side, so a payload that a third of all pages share is split by AQE.
+    right side; it is broadcast while it is small, and beyond that a payload that a third
+    of all pages share is split by AQE.
     """
+    ensure_checkpoint_dir(pages.sparkSession)
     rows = pages.select(
         F.col(page_id).alias("page_id"),
         F.col(url).cast("string").alias("url"),
@@ -62,9 +65,13 @@ def record_types(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
         .select("shared_digest", "first_id")
+        .checkpoint()
     )
+    # one narrow row for each repeated payload: where they are few, payloads are not shuffled to meet them
+    size = first.agg(F.sum(F.octet_length("shared_digest") + 64).alias("b")).first()["b"] or 0
+    first = F.broadcast(first) if size <= BROADCAST_BYTES else first
     refers = F.when(~F.col("first_id").eqNullSafe(F.col("page_id")), F.col("first_id"))
-    return rows.join(first, rows["payload_digest"] == first["shared_digest"], "left").select(
+    return rows.join(first, F.col("payload_digest") == F.col("shared_digest"), "left").select(
         "page_id", "url", "payload", "payload_digest", refers.alias("refers_to")
     )
 
