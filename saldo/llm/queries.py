@@ -64,12 +64,14 @@ def fold(buckets: int) -> Column:
     """
 )
 def op1_line_dedup(spark, sf):
+    """Documents without the boilerplate lines of their source. A null text stays null."""
     cleaned = linededup.remove_boilerplate(table(spark, sf, "documents"))
     return cleaned.select("row.doc_id", F.col("text_kept").alias("text"), "lines_dropped")
 
 
 @_query()
 def op2_language_id(spark, sf):
+    """Language and score of every whole text; learned outside the held-out hash class."""
     docs = table(spark, sf, "documents")
     model = langid.fit(docs.filter(F.coalesce(fold(4) != 2, F.lit(True))))
     found = langid.predict(docs, model)
@@ -82,6 +84,7 @@ SURROGATE_KEY = "registered-query"
 
 @_query()
 def op3_pii_surrogates(spark, sf):
+    """Every text with surrogates for its personal data and secrets, and the kinds found. A null text stays null."""
     replaced = pii.replace_entities(table(spark, sf, "documents"), SURROGATE_KEY)
     return replaced.select("row.doc_id", F.col("text_clean").alias("text"), F.size("kinds").alias("n_entities"), "kinds")
 
@@ -99,22 +102,26 @@ def op3_pii_surrogates(spark, sf):
     """
 )
 def op4_warc(spark, sf):
+    """Digest, kind and reference of every page, read back from the archives. A null page is empty."""
     index, folder = warc.archive(table(spark, sf, "pages"))
     return warc.read_archives(index, folder).drop("payload", "url")
 
 
 @_query()
 def op5_near_duplicates(spark, sf):
+    """The class of every document: the smallest id that links of 0.8 or more over five-word shingles lead to."""
     return neardup.classes(table(spark, sf, "documents"))
 
 
 @_query()
 def op6_decontamination(spark, sf):
+    """Every document and benchmark item that match, with their smallest edit distance."""
     return decontam.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
 @_query()
 def op7_byte_bpe(spark, sf):
+    """Digests of the token ids of every whole text and of what they decode to. A null text is empty."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
     return bpe.round_trip(table(spark, sf, "documents"), codec)
@@ -122,6 +129,7 @@ def op7_byte_bpe(spark, sf):
 
 @_query()
 def op8_toxicity(spark, sf):
+    """Toxicity scores of all documents, learned from the labels outside the held-out hash class."""
     docs = table(spark, sf, "documents")
     learned = table(spark, sf, "labels").filter(F.coalesce(fold(3) != 1, F.lit(True)))
     found = toxicity.score(docs, toxicity.fit(docs, learned))
@@ -131,6 +139,7 @@ def op8_toxicity(spark, sf):
 
 @_query()
 def op9_host_rules(spark, sf):
+    """Counts of every whole text and the verdict of its own rule and its source."""
     return hostrules.judge(table(spark, sf, "documents")).drop("n_lines")
 
 
@@ -157,6 +166,7 @@ def op9_host_rules(spark, sf):
     """
 )
 def op10_quotation_linking(spark, sf):
+    """Every turn, written as a mail reply, with what it says itself, its parent, root and depth."""
     replies = quotes.as_replies(table(spark, sf, "conversations"))
     linked = quotes.conversations(replies, "conv_id", "turn", "text")
     renamed = {"parent_thread": "parent_conv", "parent_place": "parent_turn", "root_thread": "root_conv", "root_place": "root_turn"}
