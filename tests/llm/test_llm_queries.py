@@ -26,8 +26,9 @@ def test_query_equals_statement(spark, name):
     assert differences(queries.llm_queries()[name](spark, SF), duck(SF), queries.llm_oracles()[name]) == []
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.llm_queries()) == list(range(1, 11))
+def test_thirteen_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.llm_queries()) == list(range(1, 14))
+    assert all(q.__doc__ for q in queries.llm_queries().values())
 
 
 def test_languages_are_right_on_held_out_documents(spark, docs):

@@ -229,13 +229,13 @@ def test_short_items_are_found_at_every_place():
     filler = prose(40, 77).split()
     for n in range(1, 8):
         item = " ".join(words[:n])
-        index = decontam.ItemIndex({7: item, 8: "量子力学入門"})
+        index = decontam.ItemIndex([(7, item), (8, "量子力学入門")])
         texts = [" ".join([*filler[:at], item, *filler[at:]]) for at in range(9)]
         assert {(d, i) for d, i, distance in index.matches(texts, 0.2) if distance == 0} == {(d, 7) for d in range(9)}
         edited = [t.replace(words[0], words[0][:2] + "x" + words[0][3:]) for t in texts]
         assert {(d, i, k) for d, i, k in index.matches(edited, 0.2)} == {(d, 7, 1) for d in range(9)}
         assert index.matches([f"({item})", "これは量子力学入門です", "a量子力x入門b"], 0.2) == [(0, 7, 0), (1, 8, 0), (2, 8, 1)]
-    cat = decontam.ItemIndex({1: "cat", 2: ""})
+    cat = decontam.ItemIndex([(1, "cat"), (2, "")])
     assert cat.matches(["concatenate", "a cat.", "CAT", "", " "], 0.2) == [(1, 1, 0), (2, 1, 0)]
 
 
@@ -392,7 +392,7 @@ def test_pipeline_keeps_one_document_of_many_copies(spark):
     rows += [(100 + k, "menu home about\n" + "\n".join(exact)) for k in range(40)]
     rows += [(200 + k, "\n".join(["menu home about", *near[: k % 20], f"edit {k} here", *near[k % 20 + 1 :]])) for k in range(40)]
     docs = spark.createDataFrame([(i, t, "en", "one", len(t)) for i, t in rows], SCHEMA)
-    cut = corpus_pipeline.line_dedup(spark, docs, "").localCheckpoint()
+    cut = corpus_pipeline.line_dedup(spark, docs, "").checkpoint()
     got = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, cut, "").collect()}
     assert all(got[k] == rows[k][1].split("\n", 1)[1] for k in range(40))
     kept = [i for i, t in got.items() if all(x in t for x in exact)]
