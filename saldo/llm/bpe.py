@@ -28,9 +28,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.llm.shared import held, share
 from saldo.llm.textarrays import chunks
 
-MAX_PIECES, MAX_PAIRS, CHUNK = 400_000, 400_000, 1_000_000
+MAX_PIECES, MAX_PAIRS, CHUNK = 250_000, 250_000, 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,6 +55,7 @@ class Codec:
             raise ValueError(f"bytes missing from the vocabulary: {missing}")
         self.split = regex.compile(self.pattern).findall
         self.token = {rank: token for token, rank in self.ranks.items()}
+        self.span = max(self.token) + 1
         self.size = {rank: len(token) for rank, token in self.token.items()}
         self.by_text = {str(rank): token for rank, token in self.token.items()}
         self.automaton = ahocorasick.Automaton()
@@ -63,7 +65,7 @@ class Codec:
         self.edges: tuple[dict, dict] = ({}, {})
         self.histories: dict[int, tuple[int, int] | None] = {}
         self.shorter: dict[int, int] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left * number of tokens + right
         self.pieces: dict[str, str] = {}
         self._ready = True
 
@@ -103,7 +105,8 @@ class Codec:
         Merges go by rank, and from left to right within a rank: at equal rank the
         left token's own merge comes first, the right one's comes later.
         """
-        known = self.pairs.get((left, right))
+        key = left * self.span + right
+        known = self.pairs.get(key)
         if known is not None:
             return known
         rank_of = self.ranks.get
@@ -115,7 +118,7 @@ class Codec:
         )
         if len(self.pairs) >= MAX_PAIRS:
             self.pairs.clear()
-        self.pairs[left, right] = good
+        self.pairs[key] = good
         return good
 
     def next_shorter(self, rank: int) -> int:
@@ -136,7 +139,7 @@ class Codec:
         longest = [-1] * len(piece)
         for end, (before, rank) in self.automaton.iter(piece.decode("latin-1")):
             longest[end - before] = rank  # ends ascend, so the last is the longest
-        size, known, shorter = self.size, self.pairs.get, self.next_shorter
+        size, known, shorter, span = self.size, self.pairs.get, self.next_shorter, self.span
         dead: set[int] = set()
         out = [longest[0]]
         at, stop = size[longest[0]], len(piece)
@@ -144,7 +147,7 @@ class Codec:
         now = longest[at]
         while True:
             end = at + size[now]
-            good = known((last, now))
+            good = known(last * span + now)
             if good is None:
                 good = self.compatible(last, now)
             if good and end not in dead:
@@ -220,14 +223,14 @@ def round_trip(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str
 
 
 def _rows(docs: DataFrame, codec: Codec, doc_id: str, text: str, schema: str, work) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(codec)
+    shared = share(docs.sparkSession.sparkContext, codec)
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             for x, y in chunks(texts, CHUNK):
-                done = [work(shared.value, t) for t in texts[x:y]]
+                done = [work(held(shared), t) for t in texts[x:y]]
                 out = {"doc_id": batch["doc_id"].iloc[x:y].reset_index(drop=True)}
                 for k, n in enumerate(names):
                     out[n] = pd.Series([d[k] for d in done], dtype="int64" if n == "n_tokens" else object)

@@ -11,12 +11,22 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+from pyspark.sql import SparkSession
 
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
+#: Bytes of an Arrow batch, which a task holds several times over: in the JVM, as Arrow and as Python objects.
+BATCH_BYTES, BATCH_SETTING = 8 * 1024 * 1024, "spark.sql.execution.arrow.maxBytesPerBatch"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit for Arrow batches to ``BATCH_BYTES``; a lower limit stays."""
+    now = spark.conf.get(BATCH_SETTING)
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def chunks(texts: Sequence[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts that hold about ``limit`` characters each."""
     start = size = 0
