@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saldo.session import ensure_checkpoint_dir
+from saldo.session import work_path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table of the shared folder.
+
+    Like a checkpoint it has no lineage. But its size is that of its files: a checkpoint keeps
+    the plan's estimate, and estimates of joins are products, whose digits double in every
+    round of a loop until they fill the driver.
+    """
+    place = work_path(df.sparkSession, "links")
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,20 +27,19 @@ def components(edges: DataFrame) -> DataFrame:
     label, so labels travel over ever longer ways. Minima are combined before the
     shuffle; a hub is hot only on the side of a join that AQE splits.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = both.filter(F.col("a") != F.col("b")).distinct().checkpoint()
+    both = stored(both.filter(F.col("a") != F.col("b")).distinct())
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-    labels = labels.select("node", F.least("node", "low").alias("label")).checkpoint()
+    labels = stored(labels.select("node", F.least("node", "low").alias("label")))
     while True:
         theirs = labels.select(F.col("node").alias("b"), F.col("label").alias("their_label"))
         near = both.join(theirs, "b").groupBy(F.col("a").alias("node")).agg(F.min("their_label").alias("low"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "low").alias("lower"))
-        lower = lower.checkpoint()
+        lower = stored(lower)
         ends = lower.select(F.col("node").alias("lower"), F.col("lower").alias("end"))
-        jumped = lower.join(ends, "lower").select(
+        jumped = stored(lower.join(ends, "lower").select(
             "node", F.least("lower", "end").alias("label"), (F.least("lower", "end") != F.col("label")).alias("moved")
-        ).checkpoint()
+        ))
         labels = jumped.select("node", "label")
         if jumped.filter("moved").isEmpty():
             return labels
