@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 
 from saldo.llm import bpe, decontam, langid, linededup, neardup
 from saldo.llm.queries import fold, table
+from saldo.llm.textarrays import bound_batches
 from saldo.session import ensure_checkpoint_dir, work_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A lead below this says that no language fits the text better than another.
-LEAST_LEAD = 0.002
 BROADCAST_ROWS = 1_000_000
 #: Models and digests have no SQL; the stages are tested against plain versions.
 ORACLE_SQL = None
@@ -34,11 +33,11 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters and those that no language leads in."""
+    """Drop documents without letters and those that do not fit the language that fits best."""
+    bound_batches(spark)
     model = langid.fit(docs.filter(F.coalesce(fold(4) != 2, F.lit(True))))
     judged = docs.withColumn("_judged", langid.predicted(docs, model))
-    keep = (F.col("_judged.lang_pred") != langid.UNDETERMINED) & (F.col("_judged.score") >= LEAST_LEAD)
-    return judged.filter(keep).select(*COLUMNS)
+    return judged.filter((F.col("_judged.lang_pred") != langid.UNDETERMINED) & F.col("_judged.fits")).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,25 +52,39 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each near-duplicate class, once."""
+    """Keep one document of each near-duplicate class, the one with the smallest id, once.
+
+    Documents are told apart by id and text, so a text that shares its id with another
+    one is decided on its own; so are rows without id.
+    """
+    bound_batches(spark)
     ensure_checkpoint_dir(spark)
-    found = neardup.classes(docs).checkpoint()
-    kept = without(docs, found.filter(F.col("doc_id") != F.col("class_id")))
-    repeated = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").checkpoint()
-    if repeated.isEmpty():
-        return kept
-    copies = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without(kept, repeated).unionByName(copies.select(*COLUMNS))
+    found = neardup.grouped(docs).checkpoint()
+    hashed = docs.withColumn("_h", F.xxhash64("text"))
+
+    def only(rows: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
+        chosen = pairs.select(F.col("doc_id").alias("_id"), F.col("h").alias("_of")).checkpoint()
+        known = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+        return rows.join(known, rows["doc_id"].eqNullSafe(known["_id"]) & (rows["_h"] == known["_of"]), how)
+
+    kept = only(hashed, found.filter(~F.col("kept")).distinct(), "left_anti")
+    repeated = found.filter("kept").groupBy("doc_id", "h").count().filter("count > 1").checkpoint()
+    if not repeated.isEmpty():
+        once = only(kept, repeated, "left_semi").dropDuplicates(["doc_id", "_h"])
+        kept = only(kept, repeated, "left_anti").unionByName(once)
+    return kept.select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item, exactly or with few edits."""
+    bound_batches(spark)
     ensure_checkpoint_dir(spark)
     return without(docs, decontam.matches(docs, table(spark, sf_dir, "benchmark")))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digests of ids and decoded bytes."""
+    bound_batches(spark)
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.encoded(docs, bpe.Codec(ranks, public_tokenizers.PATTERN))
 
