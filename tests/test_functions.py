@@ -119,6 +119,47 @@ def test_all_hot_keys_are_split_and_equal_rows_divided(spark):
     assert "_right_slot" in plan
 
 
+def test_a_key_with_too_many_pairs_is_split_though_neither_side_is_hot(spark):
+    left = spark.range(1200).select(F.when(F.col("id") < 1000, F.lit(1)).when(F.col("id") < 1100, F.lit(7)).alias("k"), "id")
+    right = spark.range(620).select(
+        F.when(F.col("id") < 600, F.lit(1)).when(F.col("id") < 610, F.lit(2)).alias("rk"), (F.col("id") % 9).alias("r")
+    )
+    for null_safe in (True, False):
+        split = joins.skewed_left_join(left, right, {"k": "rk"}, null_safe, max_bytes=0, pairs_per_task=200_000)
+        same = left.k.eqNullSafe(right.rk) if null_safe else left.k == right.rk
+        assert "_right_slot" in split._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(repr, split.collect())) == sorted(map(repr, left.join(right, same, "left").collect()))
+    counts = joins.counted_keys(left, right, {"k": "rk"}, True, joins.ROWS_PER_TASK, 200_000)
+    assert counts.filter("_slots > 1").collect() == [(1, 600, 1000, 600_000.0, 3)]
+    few = joins.counted_keys(left, right, {"k": "rk"}, True, joins.ROWS_PER_TASK, 100)
+    assert few.filter("rk = 1").first()["_slots"] == 6
+
+
+def test_tasks_follow_from_the_joined_rows(spark):
+    left = spark.range(4000).select((F.col("id") % 40).alias("k"), "id")
+    right = spark.range(8000).select((F.col("id") % 40).alias("rk"), (F.col("id") % 9).alias("r"))
+    joined = joins.skewed_left_join(left, right, {"k": "rk"}, max_bytes=0, pairs_per_task=20_000)
+    parts = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(p["count"] for p in parts) == 40 * 100 * 200
+    assert len(parts) > 15 and max(p["count"] for p in parts) < 8 * 20_000
+
+
+@pytest.mark.parametrize("pairs", [None, joins.PAIRS_PER_TASK])
+def test_without_hot_keys_each_side_is_shuffled_once(spark, pairs):
+    left, right = _sides(spark)
+    joined = joins.skewed_left_join(left, right, {"k": "rk"}, max_bytes=0, pairs_per_task=pairs)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate" not in plan
+
+
+def test_full_ranges_hold_every_spelling_of_a_hot_key(spark):
+    rows = spark.range(300).select(F.when(F.col("id") % 2 == 0, F.lit("Abc")).otherwise("aBC").alias("k"), "id")
+    folded = rows.withColumn("k", F.expr("k collate UTF8_LCASE"))
+    assert folded.filter(joins.full_ranges(folded, ["k"], 200)).count() == 300
+    assert joins.full_ranges(rows, ["k"], 200) is None
+    assert rows.filter(joins.full_ranges(rows, ["k"], 100)).count() == 300
+
+
 def test_unique_right_side_means_one_plain_join(spark):
     left, right = _sides(spark)
     plan = joins.skewed_left_join(left, right, {"k": "rk"}, max_bytes=0, unique=True)._jdf.queryExecution().optimizedPlan().toString()
