@@ -96,6 +96,32 @@ def test_ledger_legs_allocate_and_keep_unknown_movements(spark):
     )
 
 
+def test_large_ledgers_move_once_for_allocations_and_once_for_movements(spark, monkeypatch):
+    from saldo.functions import joins
+
+    _, allocations, movements, parties, _ = _ledger(spark)
+    legs = spark.range(50).select(
+        F.col("id").alias("lctref"), F.lit(1).cast("bigint").alias("idpartida"),
+        F.lit("3.1.1.1.01.001").alias("conta"), F.lit("D").alias("tipolancamento"),
+        F.when(F.col("id") < 5, F.lit("77")).alias("integrachave"),
+    )
+    unknown = movements.union(movements.selectExpr("78", "codtmv", "campolivre1", "null", "codusuario", "dataemissao", "valorbrutoorig"))
+    near = ledger.attach_movements(ledger.attach_allocations(legs, allocations), unknown, parties)
+    expected = sorted(map(repr, near.collect()))
+    monkeypatch.setattr(joins, "_surely_small", lambda df, size: False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        far = ledger.attach_movements(ledger.attach_allocations(legs, allocations), unknown, parties)
+        plan = far._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, far.collect())) == expected and far.columns == near.columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The legs for each of two joins, allocations, movements by counterparty and by id, counterparties.
+    assert plan.count("Exchange hashpartitioning") == 6
+    assert sum(r.fornecedor == "Fornecedor" for r in far.collect()) == 6
+
+
 def test_ledger_fact_has_the_published_columns(spark):
     journal, allocations, movements, parties, accounts = _ledger(spark)
     allow = spark.createDataFrame([("3.1.1.1.01.001",)], "conta string")
