@@ -4,7 +4,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
+from checks.fixtures import OLD, view
+from saldo.functions import joins
 from saldo.operators import budget, hierarchy, ledger, mappings
+from saldo.plans import datasets
 
 
 def test_fixed_values_are_complete():
@@ -210,3 +214,53 @@ def test_budget_keeps_every_matching_cost_center(spark):
     )
     line = spark.createDataFrame([("P", "A", "U", 2025)], "nm_iniciativa string, nm_acao string, nm_unidade string, vl_ano int")
     assert sorted(r.nm_cc for r in budget.budget_with_cc(line, cc_map).collect()) == ["c1", "c2"]
+
+
+def test_budget_names_get_their_sort_key_once_a_spelling(spark):
+    cc_map = spark.createDataFrame(
+        [("c1", 2025, "P", "A", "U"), ("c2", 2025, "p", "á", "u "), ("c2", 2025, "P ", "A", "U"), ("c3", 2025, "P", None, "V"),
+         (None, 2025, "Q", "A", "U")],
+        "cc string, ano int, projeto string, acao string, unidade string",
+    )
+    names = [
+        ("P", "A", "U", 2025), ("p", "Á", "U  ", 2025), ("P", "A", "V", 2025), ("P", None, "v", 2025), ("Q", "A", "U", 2025),
+        ("P", "A", "U", 2024), ("P", "A", "U", None), (None, "A", "U", 2025), ("Cancelado P", "A", "U", 2025),
+    ]
+    lines = spark.createDataFrame(
+        [(*row, n) for n in range(20) for row in names],
+        "nm_iniciativa string, nm_acao string, nm_unidade string, vl_ano int, n int",
+    )
+    joined = budget.budget_with_cc(lines, cc_map)
+    assert joined.columns == [*lines.columns, "nm_cc"]
+    both = ["c1", "c2"]  # "P " has its blank inside the key, so it is another name
+    expected = [
+        (*row, n, cc)
+        for n in range(20)
+        for row, centers in zip(names, (both, both, [None], ["c3"], [None], [None], [None]))
+        for cc in centers
+    ]
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(expected, key=repr)
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("\n")
+    top = next(line for line in plan if "Join" in line)
+    assert "_grafia" in top and "collationkey" not in top.lower()
+
+
+def test_reference_tables_of_the_ledger_are_computed_once(spark, small, monkeypatch):
+    monkeypatch.setattr(joins, "EXPANSION", 10**9)  # no table is small by its estimate
+    seen = {name: spark.sparkContext.accumulator(0) for name in ("CCONTA", "GCCUSTO")}
+    tables = {name: view(spark, small, registry.SOURCES[name]) for name in registry.SOURCES}
+
+    def source(name):
+        if name not in seen:
+            return tables[name]
+        count, code = seen[name], tables[name].columns[0]
+
+        def marked(value):
+            count.add(1)
+            return value
+
+        return tables[name].withColumn(code, F.udf(marked, "string").asNondeterministic()(code))
+
+    found = datasets.fatofechamento(spark, source, registry.ENTITY, first_year=OLD)
+    assert found.count() > 0
+    assert {name: n.value for name, n in seen.items()} == {name: tables[name].count() for name in seen}
