@@ -77,13 +77,14 @@ def key_quantiles(sample: DataFrame, key: str, slices: int) -> list[object]:
     """
     counted = sample.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     rows = sorted(((r[0], r[1]) for r in counted.collect()), key=lambda r: r[0])
-    total = sum(n for _, n in rows)
-    want, cuts, held = total / slices, [], 0  # held: rows since the last cut
+    left = sum(n for _, n in rows)
+    want, cuts, held = left / slices, [], 0  # held: rows since the last cut
     for value, n in rows:
         # a cut goes before the value if the part is nearer to its size without it
         if held and (held + n - want > want - held or held >= want) and len(cuts) < slices - 1:
             cuts.append(value)
-            held = 0
+            left, held = left - held, 0
+            want = left / (slices - len(cuts))  # else what the parts miss adds up in the last one
         held += n
     return cuts
 

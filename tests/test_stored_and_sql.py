@@ -180,6 +180,14 @@ def test_slices_follow_the_keys(spark, slices):
     assert slices == 1 or max(equal) > max(sizes)
 
 
+@pytest.mark.parametrize("rows, slices", [(1629, 64), (1595, 64), (99, 50), (10, 7)])
+def test_no_slice_takes_what_the_others_miss(spark, rows, slices):
+    table = spark.range(rows)
+    sizes = [table.filter(p).count() for p in relational.balanced_predicates(table, "id", slices)]
+    assert len(sizes) == slices and sum(sizes) == rows
+    assert max(sizes) <= -(-rows // slices)
+
+
 def test_repeated_keys_make_slices_of_their_own(spark):
     keys = skewed_keys()
     table = spark.createDataFrame([(k,) for k in keys], "id bigint")
